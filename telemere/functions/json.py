@@ -48,11 +48,8 @@ def is_number(doc):
 
 
 def is_object(doc):
-    return kind_of(doc).startswith("OBJECT")
-
-
-def is_array(doc):
-    return kind_of(doc).startswith("ARRAY")
+    """Cheaper than naming the type: a schema walks the whole value, this only its keys."""
+    return F.try_variant_get(doc, "$", VARIANT_MAP).isNotNull()
 
 
 def number_at(doc, path, to="double"):
@@ -62,12 +59,13 @@ def number_at(doc, path, to="double"):
 
 def object_text(doc, text, path):
     """Source text of the object at ``path``, keys in source order; NULL if not an object."""
-    return F.when(is_object(node(doc, path)), F.get_json_object(text, path))
+    found = F.try_variant_get(doc, path, VARIANT_MAP).isNotNull()
+    return F.when(found, F.get_json_object(text, path))
 
 
 def array_at(doc, path):
     """Elements of the array at ``path`` as VARIANTs; NULL if not an array."""
-    return F.when(is_array(node(doc, path)), F.try_variant_get(doc, path, "array<variant>"))
+    return F.try_variant_get(doc, path, "array<variant>")
 
 
 def non_empty_array_at(doc, path):
@@ -103,17 +101,32 @@ def ordered_object(*fields):
     return F.when(present, packed)
 
 
+def members(object_text):
+    """Members of JSON object text without its braces; NULL for none."""
+    return F.nullif(F.substring(object_text, F.lit(2), F.length(object_text) - 2), F.lit(""))
+
+
+def object_of(*member_texts):
+    """JSON object text from member texts (see :func:`members`), NULL ones left out."""
+    return F.concat(F.lit("{"), F.concat_ws(",", *member_texts), F.lit("}"))
+
+
 def merge_first_wins(*maps):
-    """Union of maps where an earlier map's key is never overwritten by a later one."""
-    merged = maps[0]
-    for later in maps[1:]:
-        merged = F.map_concat(merged, _without_keys_of(merged, later))
-    return merged
+    """Union of maps where an earlier map's key is never overwritten by a later one.
 
+    Give plain columns: each map is looked up once per key of the later maps.
+    """
+    kept = [maps[0]]
+    for n, later in enumerate(maps[1:], 1):
+        kept.append(_without_keys_of(maps[:n], later))
+    return F.map_concat(*kept)
 
-def _without_keys_of(held, later):
-    return F.map_filter(later, lambda k, _: ~F.map_contains_key(held, k))
 
+def _without_keys_of(earlier, later):
+    def unclaimed(key, _):
+        test = ~F.map_contains_key(earlier[0], key)
+        for held in earlier[1:]:
+            test = test & ~F.map_contains_key(held, key)
+        return test
 
-def empty_variant_map():
-    return F.create_map().cast(VARIANT_MAP)
+    return F.map_filter(later, unclaimed)

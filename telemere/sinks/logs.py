@@ -51,9 +51,18 @@ def intake_fields(logs, default_source="spark"):
     )
 
 
-def _inside(object_text):
-    """Members of a JSON object without its braces; NULL for none."""
-    return fields.present(F.substring(object_text, F.lit(2), F.length(object_text) - 2))
+def _taken_keys(mined):
+    """Keys of an outbound log that its attributes may not use."""
+    return F.array_compact(
+        F.array(
+            *[F.when(F.col(name).isNotNull(), F.lit(name)) for name in KEY_ORDER if name not in mined],
+            *[
+                F.when(F.coalesce(F.col(name), F.col(f"_mined.{name}")).isNotNull(), F.lit(name))
+                for name in mined
+            ],
+            F.when(F.col("_resource").isNotNull(), F.lit("resource_attributes")),
+        )
+    )
 
 
 def intake_json(prepared):
@@ -77,28 +86,15 @@ def intake_json(prepared):
         F.struct(*[column.alias(name) for name, column in mined.items()]).alias("_mined"),
         F.when(resource.isNotNull(), F.get_json_object("resource_attributes", "$")).alias("_resource"),
     )
-    taken = F.array_compact(
-        F.array(
-            *[F.when(F.col(name).isNotNull(), F.lit(name)) for name in KEY_ORDER if name not in mined],
-            *[
-                F.when(F.coalesce(F.col(name), F.col(f"_mined.{name}")).isNotNull(), F.lit(name))
-                for name in mined
-            ],
-            F.when(F.col("_resource").isNotNull(), F.lit("resource_attributes")),
-        )
+    prepared = prepared.withColumn("_taken", _taken_keys(mined)).withColumn(
+        "_typed", J.typed_map(F.col("log_attributes"))
     )
-    typed = J.typed_map(F.col("log_attributes"))
-    free = F.map_filter(typed, lambda k, _: ~F.array_contains(taken, k))
-    item = F.concat(
-        F.lit("{"),
-        F.concat_ws(
-            ",",
-            _inside(F.col("_own")),
-            _inside(F.to_json("_mined")),
-            F.concat(F.lit('"resource_attributes":'), F.col("_resource")),
-            _inside(F.to_json(free)),
-        ),
-        F.lit("}"),
+    free = F.map_filter("_typed", lambda k, _: ~F.array_contains("_taken", k))
+    item = J.object_of(
+        J.members(F.col("_own")),
+        J.members(F.to_json("_mined")),
+        F.concat(F.lit('"resource_attributes":'), F.col("_resource")),
+        J.members(F.to_json(free)),
     )
     texts = [F.col(name) for name in INPUT_NAMES]
     return prepared.select(item.alias("item"), estimate_log_bytes(*texts).alias("n_bytes"))

@@ -16,9 +16,11 @@ KIND_TAG = "span.kind:"
 
 def _span_kind(doc):
     own = J.string_at(doc, "$.attributes.custom.span.kind")
-    tags = J.string_elements(J.array_at(doc, "$.attributes.tags"))
-    tagged = F.get(F.filter(tags, lambda t: t.startswith(KIND_TAG)), F.lit(0))
-    from_tag = kind_to_int(F.substring(tagged, len(KIND_TAG) + 1, 1000))
+    tagged = F.filter(
+        J.array_at(doc, "$.attributes.tags"), lambda t: J.as_string(t).startswith(KIND_TAG)
+    )
+    first = F.try_variant_get(F.get(tagged, F.lit(0)), "$", "string")
+    from_tag = kind_to_int(F.substring(first, len(KIND_TAG) + 1, 1000))
     return F.nullif(F.when(own.isNotNull(), kind_to_int(own)).otherwise(from_tag), F.lit(0))
 
 
@@ -45,14 +47,15 @@ def _status_code(doc):
 
 
 def _span_attributes(doc, text):
-    custom = F.coalesce(
-        J.typed_map(J.object_text(doc, text, "$.attributes.custom")), J.empty_variant_map()
-    )
-    reserved = F.create_map(
-        *[part for name in RESERVED_SPAN_FIELDS for part in (F.lit(name), J.node(doc, f"$.attributes.{name}"))]
-    )
-    reserved = F.map_filter(reserved, lambda _, v: v.isNotNull() & (J.kind_of(v) != "VOID"))
-    return F.nullif(F.to_json(J.merge_first_wins(custom, reserved)), F.lit("{}"))
+    """Custom attributes as they are, then the reserved fields custom does not have itself."""
+    custom = J.object_text(doc, text, "$.attributes.custom")
+    added = []
+    for name in RESERVED_SPAN_FIELDS:
+        value = J.node(doc, f"$.attributes.{name}")
+        free = J.node(doc, f"$.attributes.custom.{name}").isNull() & (J.kind_of(value) != "VOID")
+        added += [F.lit(name), F.when(free, value)]
+    merged = J.object_of(J.members(custom), J.members(F.to_json(F.named_struct(*added))))
+    return F.nullif(merged, F.lit("{}"))
 
 
 def span_columns(doc, text):

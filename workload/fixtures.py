@@ -86,6 +86,44 @@ def indexed_log_pages(spark, sf):
     )
 
 
+def catalog_log_pages(spark, sf):
+    """Log pages of one index each, every scan of an index with a whole cursor chain."""
+    pages = _bodies(log_events(spark, sf), "index", "scan_id", "page_no")
+    return pages.selectExpr(
+        "`index`",
+        "concat(`index`, '-', scan_id) as scan_id",
+        "page_no",
+        "if(page_no = 0, '', cast(page_no as string)) as cursor",
+        """concat('{"data":[', items, '],"meta":{"page":{"after":"', if(page_no = 9, '', cast(page_no + 1 as string)), '"}}}') as body""",
+    )
+
+
+def land(spark, sf, path):
+    """A landing folder with every kind of table, rendered from the driver tables."""
+    from telemere.plans.landing import land_pages
+
+    land_pages(catalog_log_pages(spark, sf), f"{path}/logs", ["index"])
+    # Each span page is a scan of its own here: its cursor chain is one page long.
+    whole = span_pages(spark, sf).withColumn("scan_id", F.concat_ws("-", "scan_id", "page_no"))
+    land_pages(whole.withColumn("page_no", F.lit(0)), f"{path}/spans")
+    metric_responses(spark, sf).selectExpr(
+        "'sum:events.value{*} by {type}' as query",
+        "unix_seconds(cast(scan_id as timestamp)) as start_s",
+        "unix_seconds(cast(scan_id as timestamp)) + 86399 as end_s",
+        "body",
+    ).write.parquet(f"{path}/metrics")
+    alert_pages(spark, sf).write.parquet(f"{path}/alerts")
+    dependency_responses(spark, sf).selectExpr(
+        "'prod' as environment",
+        "cast(null as string) as primary_tag",
+        "1704067200L as start_s",
+        "1706659200L as end_s",
+        "body",
+    ).write.parquet(f"{path}/service_dependencies")
+    index_responses(spark, sf).select("body").write.parquet(f"{path}/indexes")
+    return path
+
+
 def broken_chain_pages(spark, sf):
     """Log pages whose chains end early in each possible way, by scan number modulo 5."""
     pages = log_pages(spark, sf)
