@@ -103,7 +103,7 @@ def ordered_object(*fields):
 
 def members(object_text):
     """Members of JSON object text without its braces; NULL for none."""
-    return F.nullif(F.substring(object_text, F.lit(2), F.length(object_text) - 2), F.lit(""))
+    return F.nullif(F.regexp_extract(object_text, r"(?s)^\{(.*)\}$", 1), F.lit(""))
 
 
 def object_of(*member_texts):

@@ -46,19 +46,14 @@ def trim_blanks(text):
     return F.btrim(text, F.lit(_BLANKS))
 
 
-def _lookup(value, table, default):
-    by_result = {}
-    for key, result in table.items():
-        by_result.setdefault(result, []).append(key)
-    chain = F
-    for result, keys in by_result.items():
-        chain = chain.when(value.isin(*keys), F.lit(result))
-    return chain.otherwise(default)
+def _lookup(value, table):
+    """Entry of a fixed table, NULL when there is none; ``value`` is evaluated once."""
+    return F.try_element_at(F.create_map(*[F.lit(part) for entry in table.items() for part in entry]), value)
 
 
 def status_to_severity(status):
     """OTLP severity number of a log status; 0 for an unknown one, NULL for NULL."""
-    return F.when(status.isNotNull(), _lookup(F.lower(status), STATUS_TO_SEVERITY, F.lit(0)))
+    return F.when(status.isNotNull(), F.coalesce(_lookup(F.lower(status), STATUS_TO_SEVERITY), F.lit(0)))
 
 
 def severity_to_status(number):
@@ -72,12 +67,12 @@ def severity_to_status(number):
 def kind_to_int(kind):
     """OTLP kind number of a span kind name, with or without its SPAN_KIND_ prefix; 0 if unknown."""
     bare = F.regexp_replace(F.lower(kind), "^span_kind_", "")
-    return F.when(kind.isNotNull(), _lookup(bare, SPAN_KINDS, F.lit(0)))
+    return F.when(kind.isNotNull(), F.coalesce(_lookup(bare, SPAN_KINDS), F.lit(0)))
 
 
 def int_to_kind(number):
     """Span kind name of an OTLP kind number; NULL outside 1-5."""
-    return _lookup(number, {n: name for name, n in SPAN_KINDS.items()}, F.lit(None).cast("string"))
+    return _lookup(number.cast("int"), {n: name for name, n in SPAN_KINDS.items()})
 
 
 def hex_digits(text):

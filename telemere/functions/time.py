@@ -1,11 +1,11 @@
 """Nanosecond time arithmetic as column expressions."""
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 NANOS_PER_MILLI = 1_000_000
 NANOS_PER_SECOND = 1_000_000_000
-# Largest count of whole microseconds whose nanoseconds still fit a BIGINT.
-_MAX_MICROS = 9_223_372_036_854_775
+_UTC_NAMES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
 
 _DATE_START = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 _DATE_ONLY = r"^\s*\d{4}-\d{1,2}-\d{1,2}\s*$"
@@ -42,8 +42,12 @@ def event_time(nanos):
 
 def nanos_of_timestamp(ts):
     """Epoch nanoseconds of a timestamp column; NULL outside the nanosecond range."""
-    micros = F.unix_micros(ts)
-    return F.when(micros.between(-_MAX_MICROS, _MAX_MICROS), micros * 1000)
+    return F.try_multiply(F.unix_micros(ts), F.lit(1000).cast("long"))
+
+
+def _session_is_utc():
+    session = SparkSession.getActiveSession()
+    return session is not None and session.conf.get("spark.sql.session.timeZone") in _UTC_NAMES
 
 
 def iso_to_nanos(text):
@@ -51,17 +55,18 @@ def iso_to_nanos(text):
 
     Offsets are honoured, text without one is UTC whatever the session zone is,
     digits seven to nine of the fraction are kept, and anything else is NULL.
+    ``text`` is named as few times as possible: filters repeat it in full.
     """
-    zoned = (
-        F.when(text.endswith("Z"), text)
-        .when(text.rlike(_DATE_ONLY), F.concat(F.trim(text), F.lit("T00:00:00Z")))
-        .when(F.substring(text, 11, 1000).rlike(_HAS_OFFSET), text)
-        .otherwise(F.concat(F.trim(text), F.lit("Z")))
-    )
+    zoned = text
+    if not _session_is_utc():
+        zoned = (
+            F.when(text.rlike(_DATE_ONLY), F.concat(F.trim(text), F.lit("T00:00:00Z")))
+            .when(F.substring(text, 11, 1000).rlike(_HAS_OFFSET), text)
+            .otherwise(F.concat(F.trim(text), F.lit("Z")))
+        )
     base = nanos_of_timestamp(F.when(text.rlike(_DATE_START), zoned).try_cast("timestamp"))
-    digits = F.regexp_extract(text, _BELOW_MICROS, 1)
-    below = F.when(digits != "", F.rpad(digits, 3, "0").cast("long")).otherwise(F.lit(0).cast("long"))
-    return base + below
+    below = F.rpad(F.regexp_extract(text, _BELOW_MICROS, 1), 3, "0").cast("long")
+    return F.try_add(base, below)
 
 
 def millis_to_nanos(millis):

@@ -10,28 +10,29 @@ from telemere.sources.pages import explode_events
 
 # Per-span fields kept in span_attributes, in this order.
 RESERVED_SPAN_FIELDS = ("resource_name", "type", "single_span", "ingestion_reason", "retained_by")
-# Fixed value: tag that carries the span kind when the span itself does not.
-KIND_TAG = "span.kind:"
+# Fixed value: tag that carries the span kind when the span itself does not, among joined tags.
+KIND_TAG = "(?:^|\x00)span[.]kind:([^\x00]*)"
+_JOINT = "\x00"
 
 
 def _span_kind(doc):
     own = J.string_at(doc, "$.attributes.custom.span.kind")
-    tagged = F.filter(
-        J.array_at(doc, "$.attributes.tags"), lambda t: J.as_string(t).startswith(KIND_TAG)
-    )
-    first = F.try_variant_get(F.get(tagged, F.lit(0)), "$", "string")
-    from_tag = kind_to_int(F.substring(first, len(KIND_TAG) + 1, 1000))
-    return F.nullif(F.when(own.isNotNull(), kind_to_int(own)).otherwise(from_tag), F.lit(0))
+    # One regular expression over the joined tags stays in generated code; a lambda would not.
+    tags = F.array_join(F.try_variant_get(doc, "$.attributes.tags", "array<string>"), _JOINT)
+    kind = kind_to_int(F.coalesce(own, F.regexp_extract(tags, KIND_TAG, 1)))
+    return F.nullif(kind, F.lit(0))
 
 
 def _error_flag(doc, path):
     """What an ``error`` field says; NULL when it leaves the question open."""
     name = J.kind(doc, path)
-    return (
-        F.when(J.is_number_kind(name), F.try_variant_get(doc, path, "double") != 0)
-        .when(name == "BOOLEAN", F.try_variant_get(doc, path, "boolean"))
-        .when(name.startswith("OBJECT") & (name != "OBJECT<>"), F.lit(True))
+    said = (
+        F.when(name == "BOOLEAN", F.try_variant_get(doc, path, "boolean"))
+        .when(name.startswith("OBJECT"), F.nullif(name != "OBJECT<>", F.lit(False)))
+        .when(J.is_number_kind(name), F.try_variant_get(doc, path, "double") != 0)
     )
+    # Most spans have no such field, which is cheaper to see than to name its type.
+    return F.when(J.node(doc, path).isNotNull(), said)
 
 
 def _status_code(doc):
