@@ -10,13 +10,43 @@ object keys, the source keeps them. Everything stays JVM-side.
 from pyspark.sql import functions as F
 
 VARIANT_MAP = "map<string,variant>"
+# Spark's typed JSON reader is lenient by default; the VARIANT parser is not.
+STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
 def parse(text):
-    """VARIANT of JSON text; NULL when the text is not valid JSON."""
+    """VARIANT of JSON text; NULL when it does not start with a valid JSON value.
+
+    What follows that value is not looked at: use :func:`wrap` and :func:`unwrap`
+    where it matters.
+    """
     return F.try_parse_json(text)
 
 
+def wrap(text):
+    """VARIANT of ``[text]``: content after the first value of ``text`` makes it NULL or longer."""
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+
+
+def unwrap(wrapped, text):
+    """The one object or array that is the whole of ``text``; NULL for anything else.
+
+    Text could only hide content by closing the wrapping bracket itself, right
+    after its value. Text with such a place is parsed again inside an object,
+    where a stray bracket is an error.
+    """
+    first = F.try_variant_get(wrapped, "$[0]", "variant")
+    closes = F.when(is_object(first), text.rlike(r"\}\s*\]")).otherwise(text.rlike(r"\]\s*\]"))
+    inside = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    alone = (F.size(array_at(wrapped, "$")) == 1) & (~closes | inside.isNotNull())
+    return F.when(alone, first)
+
+
+def parse_whole(text):
+    """VARIANT of text that is one JSON value and nothing else."""
+    return unwrap(wrap(text), text)
+
+
 def node(doc, path):
     return F.try_variant_get(doc, path, "variant")
 
@@ -83,12 +113,16 @@ def string_elements(elements):
 
 def typed_map(text):
     """Top-level keys of an object in source order with typed values; NULL if not an object."""
-    return F.from_json(F.when(F.trim(text).startswith("{"), text), VARIANT_MAP)
+    return F.from_json(_object_like(text), VARIANT_MAP, STRICT)
 
 
 def text_map(text):
     """Top-level keys with values as text: nested values keep their source text."""
-    return F.from_json(F.when(F.trim(text).startswith("{"), text), "map<string,string>")
+    return F.from_json(_object_like(text), "map<string,string>", STRICT)
+
+
+def _object_like(text):
+    return F.when(text.rlike(r"(?s)^\s*\{.*\}\s*$"), text)
 
 
 def ordered_object(*fields):

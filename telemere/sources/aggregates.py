@@ -20,8 +20,8 @@ def normalise_aggregates(responses, carry=(), on_malformed="raise"):
 
     A response without buckets has no rows; a bucket without ``by`` is the total ``{}``.
     """
-    parsed = responses.select(*carry, "body", J.parse(F.col("body")).alias("doc"))
-    texts = F.from_json(F.get_json_object("body", "$.data.buckets"), "array<string>")
+    parsed = responses.select(*carry, "body", J.parse_whole(F.col("body")).alias("doc"))
+    texts = F.from_json(F.get_json_object("body", "$.data.buckets"), "array<string>", J.STRICT)
     entries = F.transform(texts, lambda t: F.struct(t.alias("text"), J.parse(t).alias("doc")))
     sound = guarded(entries, aggregate_problem(F.col("doc")), on_malformed)
     buckets = parsed.select(*carry, F.explode(sound).alias("bucket"))
@@ -48,7 +48,7 @@ def index_problem(doc):
 
 def normalise_indexes(responses, carry=(), on_malformed="raise"):
     """Distinct index names with their first position, to be ordered by it."""
-    parsed = responses.select(*carry, J.parse(F.col("body")).alias("doc"))
+    parsed = responses.select(*carry, J.parse_whole(F.col("body")).alias("doc"))
     sound = guarded(J.array_at(F.col("doc"), "$.indexes"), index_problem(F.col("doc")), on_malformed)
     entries = parsed.select(*carry, F.posexplode(sound).alias("position", "entry"))
     names = entries.select(*carry, J.string_at(F.col("entry"), "$.name").alias("name"), "position")

@@ -73,7 +73,7 @@ def _moment(seconds):
 
 def normalise_alerts(pages, carry=(), open_only=True, on_malformed="raise"):
     """Alert groups of landing pages; only open ones unless ``open_only`` is off."""
-    parsed = pages.select(*carry, J.parse(F.col("body")).alias("doc"))
+    parsed = pages.select(*carry, J.parse_whole(F.col("body")).alias("doc"))
     groups = guarded(J.array_at(F.col("doc"), "$.groups"), page_problem(F.col("doc")), on_malformed)
     rows = parsed.select(*carry, F.explode(groups).alias("g"))
     group = F.col("g")
@@ -100,7 +100,7 @@ def normalise_alerts(pages, carry=(), open_only=True, on_malformed="raise"):
 
 def alert_rejects(pages, keep=("scan_id", "page_no")):
     """The malformed pages and why."""
-    parsed = pages.select(*keep, J.parse(F.col("body")).alias("doc"))
+    parsed = pages.select(*keep, J.parse_whole(F.col("body")).alias("doc"))
     return parsed.select(*keep, page_problem(F.col("doc")).alias("reason")).where("reason is not null")
 
 

@@ -39,7 +39,7 @@ def edges_of(responses, carry=(), on_malformed="raise"):
     An object's keys are unique, so dropping repeats within one ``calls`` array is
     enough: no shuffle.
     """
-    parsed = responses.select(*carry, "body", J.parse(F.col("body")).alias("doc"))
+    parsed = responses.select(*carry, "body", J.parse_whole(F.col("body")).alias("doc"))
     sound = guarded(J.typed_map(F.col("body")), response_problem(F.col("doc")), on_malformed)
     services = parsed.select(*carry, F.posexplode(sound).alias("service_pos", "source_service", "value"))
     calls = F.array_distinct(F.try_variant_get("value", "$.calls", "array<string>"))
@@ -72,5 +72,5 @@ def normalise_dependencies(responses, provider, environment, window, on_malforme
 
 def dependency_rejects(responses, keep=("scan_id",)):
     """The malformed responses and why."""
-    parsed = responses.select(*keep, J.parse(F.col("body")).alias("doc"))
+    parsed = responses.select(*keep, J.parse_whole(F.col("body")).alias("doc"))
     return parsed.select(*keep, response_problem(F.col("doc")).alias("reason")).where("reason is not null")

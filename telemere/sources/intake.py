@@ -47,32 +47,21 @@ def _documents(content_type, body):
 
 
 def _document_problem(entry):
-    doc, kind = entry["doc"], J.kind_of(entry["doc"])
-    elements = J.array_at(doc, "$")
+    doc, elements = entry["doc"], J.array_at(entry["doc"], "$")
     return (
         F.when(doc.isNull(), F.lit("body is not valid JSON"))
-        .when(
-            kind.startswith("ARRAY") & (F.size(elements) > MAX_ARRAY_LOGS),
-            F.lit(f"an array may hold at most {MAX_ARRAY_LOGS} logs"),
-        )
-        .when(
-            kind.startswith("ARRAY") & F.exists(elements, lambda e: ~J.is_object(e)),
-            F.lit("each log must be a JSON object"),
-        )
-        .when(
-            ~(kind.startswith("ARRAY") | kind.startswith("OBJECT")),
-            F.lit("body must be a JSON object or array"),
-        )
+        .when(F.size(elements) > MAX_ARRAY_LOGS, F.lit(f"an array may hold at most {MAX_ARRAY_LOGS} logs"))
+        .when(F.exists(elements, lambda e: ~J.is_object(e)), F.lit("each log must be a JSON object"))
+        .when(elements.isNull() & ~J.is_object(doc), F.lit("body must be a JSON object or array"))
     )
 
 
 def _document_logs(entry):
     """Log objects of one sound document as (text, doc)."""
-    texts = F.from_json(entry["text"], "array<string>")
-    many = F.zip_with(
-        texts, J.array_at(entry["doc"], "$"), lambda t, d: F.struct(t.alias("text"), d.alias("doc"))
-    )
-    return F.when(J.kind_of(entry["doc"]).startswith("ARRAY"), many).otherwise(F.array(entry))
+    texts = F.from_json(entry["text"], "array<string>", J.STRICT)
+    elements = J.array_at(entry["doc"], "$")
+    many = F.zip_with(texts, elements, lambda t, d: F.struct(t.alias("text"), d.alias("doc")))
+    return F.when(elements.isNotNull(), many).otherwise(F.array(entry))
 
 
 def assess(requests, api_key="", max_body_bytes=MAX_BODY_BYTES):
@@ -84,8 +73,13 @@ def assess(requests, api_key="", max_body_bytes=MAX_BODY_BYTES):
     too_large = F.octet_length("body") > max_body_bytes
     forbidden = F.coalesce(F.col("api_key"), F.lit("")) != api_key if api_key else F.lit(False)
     documents = F.when(~(too_large | forbidden), _documents(F.col("content_type"), F.col("body")))
-    parsed = F.transform(documents, lambda t: F.struct(t.alias("text"), J.parse(t).alias("doc")))
-    framed = requests.withColumns({"documents": parsed, "too_large": too_large, "forbidden": forbidden})
+    wrapped = F.transform(documents, lambda t: F.struct(t.alias("text"), J.wrap(t).alias("wrapped")))
+    framed = requests.withColumns({"_wrapped": wrapped, "too_large": too_large, "forbidden": forbidden})
+    parsed = F.transform(
+        "_wrapped",
+        lambda w: F.struct(w["text"].alias("text"), J.unwrap(w["wrapped"], w["text"]).alias("doc")),
+    )
+    framed = framed.withColumn("documents", parsed).drop("_wrapped")
     problem = F.get(
         F.filter(F.transform("documents", _document_problem), lambda p: p.isNotNull()), F.lit(0)
     )

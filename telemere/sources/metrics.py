@@ -67,7 +67,7 @@ def normalise_metrics(
     whole series in every row's attributes, which is quadratic in its points and
     therefore off by default.
     """
-    parsed = responses.select(*carry, J.parse(F.col("body")).alias("doc"))
+    parsed = responses.select(*carry, J.parse_whole(F.col("body")).alias("doc"))
     series = parsed.select(
         *carry,
         _unit(F.col("doc")).alias("unit"),
@@ -126,5 +126,5 @@ def normalise_metrics(
 
 def metric_rejects(responses, keep=("scan_id",)):
     """The malformed responses and why."""
-    parsed = responses.select(*keep, J.parse(F.col("body")).alias("doc"))
+    parsed = responses.select(*keep, J.parse_whole(F.col("body")).alias("doc"))
     return parsed.select(*keep, response_problem(F.col("doc")).alias("reason")).where("reason is not null")

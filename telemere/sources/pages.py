@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telemere.functions import json as J
+from telemere.functions import otel
 
 LANDING = T.StructType(
     [
@@ -50,13 +51,14 @@ def explode_events(pages, carry=(), on_malformed="raise"):
     """
     check_policy(on_malformed)
     fields = F.from_json(
-        "body", "data array<string>, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"}
+        "body", "data array<string>, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt", **J.STRICT}
     )
     parsed = F.transform(
         F.col("page.data"), lambda t: F.struct(t.alias("text"), J.parse(t).alias("doc"))
     )
     # Only a page the typed parse could not take is parsed again, to tell wrong shape from no JSON.
     broken = F.col("page._corrupt").isNotNull() & J.parse(F.col("body")).isNull()
+    broken = broken | ~F.right(otel.trim_blanks(F.col("body")), F.lit(1)).isin("}", "]")
     problem = F.when(broken, F.lit("response page is not valid JSON"))
     return pages.select(*carry, "body", fields.alias("page")).select(
         *carry, F.explode(guarded(parsed, problem, on_malformed)).alias("event")

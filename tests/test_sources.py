@@ -50,6 +50,8 @@ def test_pages_without_events_and_broken_pages(spark):
     with pytest.raises(Exception, match="not valid JSON"):
         normalise_logs(broken).count()
     assert normalise_logs(broken, on_malformed="skip").count() == 1
+    with pytest.raises(Exception, match="not valid JSON"):
+        normalise_logs(pages(spark, '{"data": []} x')).count()
 
 
 def test_span_rules(spark):
@@ -114,6 +116,7 @@ def test_metric_points(spark):
     "body",
     [
         "{",
+        '{"series": []} x',
         {},
         {"series": {}},
         {"series": [{"pointlist": []}]},
