@@ -136,7 +136,9 @@ def _aggregator(base, keys, options):
             # The number of kept buckets is bounded by the limit alone.
             if options.group_limit ** len(kept_keys) <= BROADCAST_ROWS:
                 chosen = F.broadcast(chosen)
-            rows = rows.join(chosen, list(kept_keys), "left_semi")
+            # Kept prefixes are unique, so this is a semi join; written as an inner join it stays
+            # above the aggregate, whose shuffle all levels then share.
+            rows = rows.join(chosen, list(kept_keys))
         return measure(rows, prefix)
 
     return aggregate

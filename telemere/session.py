@@ -9,17 +9,20 @@ from pyspark.sql import SparkSession
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
 }
-# Plan settings for skew and small partitions; on by default in Spark, pinned here.
-ADAPTIVE = {
+# Plan settings for skew and small partitions, on by default in Spark and pinned here, and the
+# method size from which generated code is split, at the JIT compiler's own limit: wide JSON
+# projections would otherwise run uncompiled.
+PLANNING = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
 def configure(spark):
     """Apply the settings to a running session and return it."""
-    for key, value in {**REQUIRED, **ADAPTIVE}.items():
+    for key, value in {**REQUIRED, **PLANNING}.items():
         spark.conf.set(key, value)
     return spark
 
@@ -27,7 +30,7 @@ def configure(spark):
 def local_session(cpus="*", shuffle_partitions=8, app_name="telemere"):
     """A session for tests and benchmarks on one machine."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app_name)
-    for key, value in {**REQUIRED, **ADAPTIVE}.items():
+    for key, value in {**REQUIRED, **PLANNING}.items():
         builder = builder.config(key, value)
     return (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
