@@ -51,19 +51,18 @@ def exact_percentile(df, keys, value, p):
             F.when(small, F.col("_max")).otherwise(F.col("_b")[1]).alias("_high"),
         )
     )
-    marked = df.where(F.col(value).isNotNull())
     if keys:
-        joined = marked.join(bracket, keys)
+        joined = df.join(bracket, keys)
     else:
-        # A global aggregate is one row, so broadcasting it is always safe.
-        joined = marked.withColumn("_one", F.lit(1)).join(
-            F.broadcast(bracket.withColumn("_one", F.lit(1))), "_one"
-        )
+        # A global aggregate is one row: a scalar subquery, not a join.
+        only = bracket.select(F.struct("_n", "_low", "_high")).scalar()
+        joined = df.withColumn("_bracket", only).select("*", "_bracket.*")
+    # Everything below the bracket, and missing values, share one row that counts no missing ones.
     low_or_inside = F.when(F.col(value) >= F.col("_low"), F.col(value))
     counted = (
-        joined.where(F.col(value) <= F.col("_high"))
+        joined.where((F.col(value) <= F.col("_high")) | F.col(value).isNull())
         .groupBy(*keys, low_or_inside.alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_c"), F.max("_n").alias("_n"))
+        .agg(F.count(value).alias("_c"), F.max("_n").alias("_n"))
     )
     running = W.partitionBy(*keys).orderBy(F.asc_nulls_first("_v")).rowsBetween(W.unboundedPreceding, 0)
     rank = (F.col("_n") - 1) * F.lit(p)
@@ -71,21 +70,16 @@ def exact_percentile(df, keys, value, p):
     at_low = F.min(F.when(F.col("_upto") > F.floor("_rank"), F.col("_v")))
     at_high = F.min(F.when(F.col("_upto") > F.ceil("_rank"), F.col("_v")))
     share = F.max(F.col("_rank") - F.floor("_rank"))
-    missed = F.max(F.when(F.col("_v").isNull(), F.col("_upto") > F.floor("_rank")).otherwise(False)) | (
-        F.max("_upto") <= F.max(F.ceil("_rank"))
-    )
+    early = F.col("_v").isNull() & (F.col("_upto") > F.floor("_rank"))
+    late = F.max("_upto") <= F.max(F.ceil("_rank"))
+    missed = (F.max("_n") > 0) & (F.bool_or(early) | late)
     picked = ranked.groupBy(*keys).agg(
         at_low.alias("_lo"), at_high.alias("_hi"), share.alias("_share"), missed.alias("_missed")
     )
     exact = F.col("_lo") + F.col("_share") * (F.col("_hi") - F.col("_lo"))
-    result = picked.select(
+    return picked.select(
         *keys,
         F.when(F.col("_missed"), F.raise_error(F.lit("percentile sketch missed its rank")).cast("double"))
         .otherwise(exact)
         .alias("value"),
     )
-    if not keys:
-        return result
-    # Groups whose values are all NULL keep their row with a NULL percentile.
-    return bracket.select(*keys).join(result, keys, "left")
-

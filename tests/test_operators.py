@@ -220,3 +220,15 @@ def test_edge_maps_combine_by_name(spark):
     one = spark.createDataFrame([], schemas.DEPENDENCIES)
     two = spark.createDataFrame([("x", "a", "b")], "provider string, source_service string, target_service string")
     assert correlate.union_edges(one, two).columns == schemas.DEPENDENCIES.fieldNames()
+
+
+def test_percentile_of_groups_without_values(spark):
+    df = spark.createDataFrame([("a", None), ("b", 1.0), ("b", None), ("b", 2.0)], "g string, v double")
+    got = {r.g: r.value for r in groups.exact_percentile(df, ["g"], "v", 0.5).collect()}
+    assert got == {"a": None, "b": 1.5}
+
+
+def test_no_operator_needs_a_cross_join(spark):
+    rows = log_rows(spark, [("a", "x", '{"d":1}', None)])
+    plan = stats.log_stats(rows, compute="pc95", metric="@d")._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
