@@ -3,6 +3,8 @@
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from telemere.operators.lookups import BROADCAST_ROWS, join_lookup
+
 # Shares a group is cut into before its final top-k.
 TOP_K_SHARES = 32
 # Rank error of the percentile sketch is 1 / SKETCH_ACCURACY of a group.
@@ -25,12 +27,13 @@ def top_k_per_group(df, keys, order, k, spread):
     return ranked.where(F.col("_rank") <= k).drop("_rank")
 
 
-def exact_percentile(df, keys, value, p):
+def exact_percentile(df, keys, value, p, max_rows=BROADCAST_ROWS):
     """Exact interpolated percentile of a double column per group, as ``value``.
 
     A mergeable sketch brackets the wanted rank; one more aggregation counts what
     lies below the bracket and the distinct values inside it, which is all that is
-    ever sorted for one group. ``df`` has just the keys and the value column.
+    ever sorted for one group. ``df`` has just the keys and the value column. Brackets
+    of up to ``max_rows`` groups are computed when this is called and broadcast.
     """
     sketched = F.percentile_approx(
         value, [max(0.0, p - 3 / SKETCH_ACCURACY), min(1.0, p + 3 / SKETCH_ACCURACY)], SKETCH_ACCURACY
@@ -52,7 +55,7 @@ def exact_percentile(df, keys, value, p):
         )
     )
     if keys:
-        joined = df.join(bracket, keys)
+        joined = join_lookup(df, bracket, keys, [value], max_rows)
     else:
         # A global aggregate is one row: a scalar subquery, not a join.
         only = bracket.select(F.struct("_n", "_low", "_high")).scalar()

@@ -18,3 +18,26 @@ def bounded(lookup, max_rows=BROADCAST_ROWS):
     if head.num_rows > max_rows:
         return lookup
     return F.broadcast(spark.createDataFrame(head, schema=lookup.schema))
+
+
+# Shares a hot key is spread over when a join has to shuffle its rows.
+SALTS = 16
+
+
+def salted_join(rows, lookup, keys, spread):
+    """Inner join of many rows to one lookup row per key, each key spread over ``SALTS`` tasks.
+
+    An aggregate on more than the keys would otherwise reuse the join's partitioning,
+    which keeps adaptive execution from splitting a hot key.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
+
+
+def join_lookup(rows, lookup, keys, spread, max_rows=BROADCAST_ROWS):
+    """Inner join to one lookup row per key: broadcast when small enough, else salted."""
+    checked = bounded(lookup, max_rows)
+    if checked is lookup:
+        return salted_join(rows, lookup, keys, spread)
+    return rows.join(checked, list(keys))

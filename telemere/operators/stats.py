@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from telemere import schemas
 from telemere.operators.groups import exact_percentile, top_k_per_group
-from telemere.operators.lookups import BROADCAST_ROWS
+from telemere.operators.lookups import BROADCAST_ROWS, salted_join
 from telemere.operators.search import facet
 
 # Percentile computes.
@@ -133,12 +133,13 @@ def _aggregator(base, keys, options):
         rows = finest
         if kept is not None:
             chosen = kept.select(*kept_keys)
-            # The number of kept buckets is bounded by the limit alone.
-            if options.group_limit ** len(kept_keys) <= BROADCAST_ROWS:
-                chosen = F.broadcast(chosen)
             # Kept prefixes are unique, so this is a semi join; written as an inner join it stays
-            # above the aggregate, whose shuffle all levels then share.
-            rows = rows.join(chosen, list(kept_keys))
+            # above the aggregate, whose shuffle all levels then share. Their number is bounded
+            # by the limit alone.
+            if options.group_limit ** len(kept_keys) <= BROADCAST_ROWS:
+                rows = rows.join(F.broadcast(chosen), list(kept_keys))
+            else:
+                rows = salted_join(rows, chosen, kept_keys, keys)
         return measure(rows, prefix)
 
     return aggregate
