@@ -4,8 +4,10 @@ A stage is ``function(spark, docs, sf_dir) -> DataFrame`` over all rows its pred
 kept. All but the last return the columns of ``documents``.
 """
 
-from telemere.llm import bpe, exact_dedup, queries, raking, string_kernel
-from telemere.llm.tables import kept, table
+from pyspark.sql import functions as F
+
+from telemere.llm import bpe, exact_dedup, ngram_join, queries, raking, string_kernel
+from telemere.llm.tables import drop_ids, kept, table
 
 
 def toxicity(spark, docs, sf_dir):
@@ -19,6 +21,12 @@ def exact(spark, docs, sf_dir):
     return exact_dedup.drop_duplicates(docs)
 
 
+def near(spark, docs, sf_dir):
+    """One document of each group of near duplicates: the one with the smallest doc_id."""
+    groups = ngram_join.near_duplicates(docs)
+    return drop_ids(docs, groups.filter(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct())
+
+
 def mixing(spark, docs, sf_dir):
     """A sample raked to the source, language and topic targets."""
     return raking.sample(docs)
@@ -32,6 +40,7 @@ def tokens(spark, docs, sf_dir):
 STAGES = [
     ("toxicity", toxicity),
     ("exact_dedup", exact),
+    ("ngram_join", near),
     ("mixing", mixing),
     ("bpe", tokens),
 ]

@@ -30,6 +30,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import functions as F
 
+from telemere.llm.tables import map_arrow
+
 KEPT_CHUNKS = 150_000
 LONGEST_KEPT = 64
 
@@ -264,7 +266,7 @@ def encode(docs, path):
             ids = pa.array([encoder.encode(t or "") for t in texts], pa.list_(pa.int32()))
             yield pa.record_batch([batch.column(0), ids], names=["doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids array<int>")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, ids array<int>")
 
 
 def decode(tokens, path):
@@ -277,7 +279,7 @@ def decode(tokens, path):
             texts = [encoder.text(np.array(ids or [], np.int64)) for ids in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return map_arrow(tokens.select("doc_id", "ids"), run, "doc_id long, text string")
 
 
 def digests(docs, path):
@@ -302,6 +304,8 @@ def digests(docs, path):
                 names=names,
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return map_arrow(
+        docs.select(F.col("doc_id").cast("long"), "text"),
+        run,
+        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
     )

@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from telemere.llm import bpe, exact_dedup, raking, string_kernel
+from telemere.llm import bpe, exact_dedup, ngram_join, raking, string_kernel
 from telemere.llm.tables import table
 
 QUERIES = {}
@@ -54,3 +54,8 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 @query("op8_bpe")
 def op8_bpe(spark, sf):
     return bpe.digests(table(spark, sf, "documents"), VOCABULARY)
+
+
+@query("op10_ngram_join")
+def op10_ngram_join(spark, sf):
+    return ngram_join.near_duplicates(table(spark, sf, "documents"))

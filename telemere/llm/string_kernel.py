@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telemere.llm.tables import map_arrow
 from telemere.llm.textblocks import blocks, codes
 
 DECAY = 0.7
@@ -226,7 +227,7 @@ def score(docs, model):
             raw = raw_scores(_lower(batch.column(1)), model)
             yield pa.record_batch([batch.column(0), pa.array(model.probability(raw))], names=["doc_id", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), run, schema)
 
 
 def reject(docs, model, threshold=0.3):
@@ -238,7 +239,7 @@ def reject(docs, model, threshold=0.3):
             p = model.probability(raw_scores(_lower(batch.column(at)), model))
             yield batch.filter(pa.array(p < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)
 
 
 def training_sentences(docs, labels, max_docs, max_sentences):
@@ -351,7 +352,7 @@ def fit(docs, labels, max_docs=3000, max_sentences=120_000, n_landmarks=192, cos
         negatives |= set(hard.tolist())
         landmarks += [words[i] for i in hard[: n_landmarks // 4 // rounds] if words[i] not in landmarks]
     model = Model(table, float(bias), 1.0, 0.0, float(bias) - 1.0)
-    held = texts.select("doc_id", "toxic", "text").mapInArrow(_raw_rows(model), "toxic int, raw double").toArrow()
+    held = map_arrow(texts.select("doc_id", "toxic", "text"), _raw_rows(model), "toxic int, raw double").toArrow()
     raw, y = np.array(held.column(1)), np.array(held.column(0))
     slope, offset = _platt(raw, (y == 1).astype(float))
     return Model(table, float(bias), slope, offset, float(min(bias - 1.0, raw.min())))

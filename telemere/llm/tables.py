@@ -4,6 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from telemere.llm import bloom
 from telemere.session import shared_dir
 
 
@@ -45,3 +46,30 @@ def join_groups(rows, groups, key, size, total, share=HOT_SHARE):
     found = flagged.filter(F.col(size).isNotNull())
     rest = flagged.filter(F.col(size).isNull()).drop(*added).join(cold, key, "left")
     return found.unionByName(rest)
+
+
+def drop_ids(docs, ids):
+    """``docs`` without the rows whose doc_id is among the distinct ``ids``; null ids stay.
+
+    A Bloom filter of the ids, bounded in size, is probed first: rows that it clears stay
+    where they are, and only the others shuffle for the exact anti join.
+    """
+    ids = kept(ids.select(F.col("doc_id").cast("long").alias("doc_id")), "dropped")
+    bits = bloom.filter_bits(ids.count())
+    maybe = fresh("maybe")
+    probed = bloom.probe(docs, bloom.members(ids, "doc_id", bits), F.col("doc_id").cast("long"), bits, maybe)
+    sure = probed.filter(~F.col(maybe)).drop(maybe)
+    rest = probed.filter(F.col(maybe)).drop(maybe)
+    key = fresh("id")
+    checked = rest.join(ids.withColumnRenamed("doc_id", key), F.col("doc_id").cast("long") == F.col(key), "left_anti")
+    return sure.unionByName(checked)
+
+
+# Bytes of one Arrow batch: what a Python task holds at once does not depend on how long texts are.
+BATCH_BYTES = "16m"
+
+
+def map_arrow(df, function, schema):
+    """``mapInArrow`` with batches bounded in bytes."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df.mapInArrow(function, schema)
