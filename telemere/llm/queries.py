@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from telemere.llm import bpe, exact_dedup, ngram_join, raking, string_kernel
+from telemere.llm import bpe, exact_dedup, exact_topk, ngram_join, raking, string_kernel
 from telemere.llm.tables import table
 
 QUERIES = {}
@@ -59,3 +59,23 @@ def op8_bpe(spark, sf):
 @query("op10_ngram_join")
 def op10_ngram_join(spark, sf):
     return ngram_join.near_duplicates(table(spark, sf, "documents"))
+
+
+@query(
+    "op4_exact_topk",
+    """
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
+        WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+        FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+    )
+    SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+    """,
+)
+def op4_exact_topk(spark, sf):
+    return exact_topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
