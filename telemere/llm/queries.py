@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from telemere.llm import bpe, exact_dedup, exact_topk, ngram_join, raking, string_kernel
+from telemere.llm import arc, bpe, exact_dedup, exact_topk, ngram_join, raking, string_kernel
 from telemere.llm.tables import table
 
 QUERIES = {}
@@ -79,3 +79,8 @@ def op10_ngram_join(spark, sf):
 )
 def op4_exact_topk(spark, sf):
     return exact_topk.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op9_arc_to_warc")
+def op9_arc_to_warc(spark, sf):
+    return arc.round_trip(table(spark, sf, "pages"))
