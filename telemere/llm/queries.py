@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from telemere.llm import arc, bpe, exact_dedup, exact_topk, ngram_join, raking, string_kernel
+from telemere.llm import arc, bpe, exact_dedup, exact_topk, lang_spans, ngram_join, raking, string_kernel
 from telemere.llm.tables import table
 
 QUERIES = {}
@@ -84,3 +84,12 @@ def op4_exact_topk(spark, sf):
 @query("op9_arc_to_warc")
 def op9_arc_to_warc(spark, sf):
     return arc.round_trip(table(spark, sf, "pages"))
+
+
+@query("op6_language")
+def op6_language(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = lang_spans.fit(lang_spans.trainable(docs))
+    # The fold comes from the id that identify() returns, so nothing is joined back.
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return lang_spans.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
