@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from telemere.llm import arc, bpe, exact_dedup, exact_topk, lang_spans, ngram_join, raking, string_kernel
+from telemere.llm import arc, bpe, exact_dedup, exact_topk, lang_spans, ngram_join, raking, string_kernel, weak_labels, wrappers
 from telemere.llm.tables import table
 
 QUERIES = {}
@@ -93,3 +93,13 @@ def op6_language(spark, sf):
     # The fold comes from the id that identify() returns, so nothing is joined back.
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     return lang_spans.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_main_text")
+def op3_main_text(spark, sf):
+    return wrappers.extract(table(spark, sf, "pages"))
+
+
+@query("op1_quality")
+def op1_quality(spark, sf):
+    return weak_labels.classify(table(spark, sf, "documents"))
