@@ -125,7 +125,8 @@ def write_arc(pages, path, version=1):
 
 
 def _write(archives, path):
-    archives.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    quick = {"maxRecordsPerFile": 1, "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    archives.write.options(**quick).text(path)
 
 
 def _split(block):
