@@ -6,8 +6,8 @@ at each position of a chunk; the encoder goes from left to right with longest ma
 takes a shorter one where two neighbouring tokens could not stand side by side in a
 merged text, and steps back where none fits. Each position is left at most once for
 good, so the work is linear in the chunk. Results equal those of merging by rank.
-Ids of chunks and pieces that came lately are kept, in tables of at most ``KEPT_CHUNKS``
-entries that are emptied when full.
+Ids of chunks, and of whole pieces between spaces, that came lately are kept in tables of
+at most ``2 * KEPT_CHUNKS`` entries.
 
 Decoding joins the tokens' bytes, found by an offset table over one array of bytes.
 
@@ -22,6 +22,7 @@ import functools
 import hashlib
 import json
 from array import array
+from collections import Counter
 from dataclasses import dataclass
 
 import ahocorasick
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from telemere.llm.tables import map_arrow
 
-KEPT_CHUNKS = 150_000
+KEPT_CHUNKS = 500_000
 LONGEST_KEPT = 64
 
 # White space of the Unicode standard, and the cut of a text into chunks (fixed values of the byte-level vocabulary).
@@ -88,6 +89,25 @@ def load(path):
     return Vocabulary(tokens, halves, order, special)
 
 
+class Recent:
+    """A table of what was used lately: when the new half is full it becomes the old half."""
+
+    def __init__(self):
+        self.new, self.old = {}, {}
+
+    def older(self, key):
+        """The value of a key that the new half lacks, or None."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+    def put(self, key, value):
+        if len(self.new) >= KEPT_CHUNKS:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
+
 class Encoder:
     """Encodes and decodes texts; one for each Python worker."""
 
@@ -98,21 +118,23 @@ class Encoder:
         self.single = {t[0]: n for n, t in usable.items() if len(t) == 1}
         number = {t: n for n, t in usable.items()}
         self.automaton = ahocorasick.Automaton()
-        for t, n in number.items():
-            self.automaton.add_word(t.decode("latin-1"), (len(t), n))
+        # Tokens of frequent bytes come first: the automaton finds early branches of a node sooner.
+        often = Counter(b for t in number for b in t)
+        for t in sorted(number, key=lambda t: [-often[b] for b in t]):
+            self.automaton.add_word(t.decode("latin-1"), (len(t), number[t]))
         self.automaton.make_automaton()
         self.merged = {pair: n for n, pair in self.halves.items()}
         # The longest token that a token begins with, itself left out.
         self.shorter = {}
         for t, n in number.items():
             self.shorter[n] = next((number[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in number), None)
-        self.compatible = functools.lru_cache(maxsize=400_000)(self._compatible)
+        self.compatible = functools.lru_cache(maxsize=500_000)(self._compatible)
         self.chunk = regex.compile(CHUNK)
         self.boundary = regex.compile(rf"(?<=.)(?= [^{SPACE}])", regex.S)
         self.odd_space = regex.compile(rf" (?:[{SPACE}]|\Z)")
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.first, self.inner = {}, {}  # pieces between spaces, without and with a space before them
-        self.chunks = {}
+        self.first, self.inner = Recent(), Recent()  # pieces between spaces, without and with a space before them
+        self.length = [len(t) for t in self.tokens]
         size = np.array([len(t) for t in self.tokens], np.int64)
         self.offset = np.r_[0, np.cumsum(size)]
         self.bytes = np.frombuffer(b"".join(self.tokens), np.uint8)
@@ -146,70 +168,78 @@ class Encoder:
 
     def _ids(self, data):
         """Token ids of one chunk's bytes."""
+        text = data.decode("latin-1")
+        if len(data) <= LONGEST_KEPT:
+            # Longest matches from left to right are mostly compatible as they are.
+            ids = [token for _, (_, token) in self.automaton.iter_long(text)]
+            if all(map(self.compatible, ids, ids[1:])):
+                return ids
         n = len(data)
         longest = [None] * n
         size = [0] * n
-        for end, (length, token) in self.automaton.iter(data.decode("latin-1")):
+        for end, (length, token) in self.automaton.iter(text):
             start = end - length + 1
             if length > size[start]:
                 size[start], longest[start] = length, token
         open_at = bytearray(b"\x01") * (n + 1)
-        ids, at, token = [], 0, longest[0]
-        tokens, shorter, compatible = self.tokens, self.shorter, self.compatible
+        ids, at, token, last = [], 0, longest[0], None
+        lengths, shorter, compatible = self.length, self.shorter, self.compatible
         while at < n:
-            last = ids[-1] if ids else None
             while token is not None:
-                end = at + len(tokens[token])
+                end = at + lengths[token]
                 if open_at[end] and (last is None or compatible(last, token)):
                     break
                 token = shorter[token]
             if token is not None:
                 ids.append(token)
-                at = end
+                at, last = end, token
                 token = longest[at] if at < n else None
             else:
                 open_at[at] = 0
                 token = ids.pop()
-                at -= len(tokens[token])
+                at -= lengths[token]
+                last = ids[-1] if ids else None
         return ids
 
     def _chunk_ids(self, text):
         """Ids of a run of chunks as bytes of int32."""
-        parts, known = [], self.chunks
-        for chunk in self.chunk.findall(text):
-            ids = known.get(chunk)
+        chunks = self.chunk.findall(text)
+        if len(chunks) == 1:
+            return array("i", self._ids(text.encode("utf-8"))).tobytes()
+        parts = []
+        for chunk in chunks:
+            store, piece = (self.inner, chunk[1:]) if chunk[0] == " " else (self.first, chunk)
+            ids = store.new.get(piece) or store.older(piece)
             if ids is None:
                 ids = array("i", self._ids(chunk.encode("utf-8"))).tobytes()
-                if len(chunk) <= LONGEST_KEPT:
-                    if len(known) >= KEPT_CHUNKS:
-                        known.clear()
-                    known[chunk] = ids
+                if len(piece) <= LONGEST_KEPT:
+                    store.put(piece, ids)
             parts.append(ids)
         return b"".join(parts)
 
-    def _kept(self, store, piece, space):
-        made = self._chunk_ids(" " + piece if space else piece)
-        if len(piece) <= LONGEST_KEPT:
-            if len(store) >= KEPT_CHUNKS:
-                store.clear()
-            store[piece] = made
+    def _piece(self, store, piece, space):
+        """Ids of a piece that the new half of ``store`` lacks."""
+        made = store.older(piece)
+        if made is None:
+            made = self._chunk_ids(" " + piece if space else piece)
+            if len(piece) <= LONGEST_KEPT:
+                store.put(piece, made)
         return made
 
     def _plain(self, text):
         if self.odd_space.search(text):
             # A space before anything but white space always begins a chunk.
-            pieces = self.boundary.split(text)
             store = self.first
-            return [store.get(p) or self._kept(store, p, False) for p in pieces if p]
-        pieces = text.split(" ")
-        head, store = pieces[0], self.inner
-        parts = [self.first.get(head) or self._kept(self.first, head, False)] if head else []
-        get = store.get
-        rest = pieces[1:]
+            return [store.new.get(p) or self._piece(store, p, False) for p in self.boundary.split(text) if p]
+        head, *rest = text.split(" ")
+        store = self.inner
+        get = store.new.get
         found = [get(p) for p in rest]
         if None in found:
-            found = [f or get(p) or self._kept(store, p, True) for f, p in zip(found, rest, strict=True)]
-        return parts + found
+            found = [f or store.new.get(p) or self._piece(store, p, True) for f, p in zip(found, rest, strict=True)]
+        if head:
+            found.insert(0, self.first.new.get(head) or self._piece(self.first, head, False))
+        return found
 
     def encode(self, text):
         """Ids of a whole text as an int32 array."""
