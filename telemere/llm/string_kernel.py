@@ -38,6 +38,7 @@ WINDOW = 24
 CLASSES = 64
 #: Training also takes toxic units of at least so many letters and marks with one letter put in, at this weight.
 MIN_BROKEN = 7
+KERNEL_ROWS = 256
 BROKEN_WEIGHT = 0.1
 #: (offset of the second letter, offset of the third letter) of each subsequence.
 PATTERNS = [(a, b) for b in range(2, MAX_SPAN) for a in range(1, b)]
@@ -172,20 +173,35 @@ def _as_units(words):
 
 
 def _landmark_tables(words):
-    tables = np.zeros((len(words), CLASSES**3), np.float32)
-    for row, word in zip(tables, words, strict=True):
+    """The subsequences that occur in landmarks, and each landmark's normed weight of each of them."""
+    rows = []
+    for word in words:
         units = _as_units([word[:WINDOW]])
-        for _, feature, weight in _features(units.letters, units.start, units.length):
-            np.add.at(row, feature, weight)
-        row /= length_term(units.length)
-    return tables
+        found = [(f, np.full(len(f), w)) for _, f, w in _features(units.letters, units.start, units.length)]
+        rows.append((*map(np.concatenate, zip(*found, strict=True)), length_term(units.length)[0]))
+    slots = np.unique(np.concatenate([feature for feature, _, _ in rows]))
+    tables = np.zeros((len(words), len(slots)), np.float32)
+    for row, (feature, weight, term) in zip(tables, rows, strict=True):
+        np.add.at(row, np.searchsorted(slots, feature), weight / term)
+    return slots, tables
 
 
 def kernel(words, landmarks):
     """Kernel values of each word and each landmark, both as ``words_of`` gives them."""
-    tables = _landmark_tables(landmarks)
-    units = _as_units(words)
-    return np.stack([unit_scores(units, t) for t in tables], axis=1)
+    slots, tables = _landmark_tables(landmarks)
+    n = len(slots)
+    place = np.full(CLASSES**3, n, np.int32)
+    place[slots] = np.arange(n)
+    out = np.full((len(words), len(landmarks)), -np.inf)
+    for at in range(0, len(words), KERNEL_ROWS):
+        units = _as_units(words[at : at + KERNEL_ROWS])
+        start, length, owner = _windows(units)
+        x = np.zeros(len(start) * (n + 1))
+        for piece, feature, weight in _features(units.letters, start, length):
+            x += weight * np.bincount(piece * (n + 1) + place[feature], minlength=len(x))
+        x = x.reshape(len(start), n + 1)[:, :n] / length_term(length)[:, None]
+        np.maximum.at(out, at + owner, x @ tables.T)
+    return out
 
 
 @dataclass
@@ -293,7 +309,7 @@ def _platt(raw, y, steps=50):
     return float(max(w[0], 1e-3)), float(w[1])
 
 
-def fit(docs, labels, max_docs=3000, max_sentences=120_000, n_landmarks=192, cost=4.0, rounds=3):
+def fit(docs, labels, max_docs=3000, max_sentences=80_000, n_landmarks=192, cost=4.0, rounds=3):
     """Train on the labelled documents given; see the module for the bounds."""
     sample, texts, sentences = training_sentences(docs, labels, max_docs, max_sentences)
     rows = sentences.select("toxic", "sentence").toArrow()
@@ -345,7 +361,9 @@ def fit(docs, labels, max_docs=3000, max_sentences=120_000, n_landmarks=192, cos
         weight[:n] /= weight[:n].sum()
         weight[n:] /= weight[n:].sum() + 1e-12
         w, bias = _svm(x, y, weight * len(y), cost)
-        table = ((root @ w) @ _landmark_tables(landmarks)).astype(np.float32)
+        slots, tables = _landmark_tables(landmarks)
+        table = np.zeros(CLASSES**3, np.float32)
+        table[slots] = (root @ w) @ tables
         found = unit_scores(all_units, table) + bias
         value = np.where(telling, strength * np.exp(np.minimum(found, 2.0)), -1.0)
         hard = clean_words[np.argsort(-found[clean_words], kind="stable")[:2000]]
