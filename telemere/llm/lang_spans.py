@@ -135,7 +135,8 @@ def word_scores(words, model):
     np.maximum(out, -WORD_LIMIT, out=out)
     if not model.seen.all():
         possible = np.ones_like(out, bool)
-        for number in range(OTHER + 1):
+        occur = np.bincount(words.script, minlength=OTHER + 1) > 0
+        for number in np.flatnonzero(occur & ~model.seen.all(axis=1)).tolist():
             has = np.add.reduceat(words.script == number, words.start) > 0
             possible[has] &= model.seen[number]
         possible[~possible.any(axis=1)] = True

@@ -79,7 +79,7 @@ def targets(cells, margin, power, budget):
     return sums.select(margin, (F.pow("now", F.lit(power)) * (budget / whole)).alias("target"))
 
 
-def fit(cells, powers=POWERS, share=SHARE, rounds=25, tolerance=1e-3):
+def fit(cells, powers=POWERS, share=SHARE, rounds=15, tolerance=2e-3):
     """Cells with their ``rate``, the part of their tokens to keep, from 0 to 1.
 
     ``powers``: for each margin the power that flattens it (1 keeps it, 0 evens it out).

@@ -152,7 +152,7 @@ def features(block, n):
     kind = block.kind.astype(np.int64)
     run = kind.copy()
     run[1:] += kind[:-1] * 32
-    run[2:] += kind[:-2] * 1024
+    run[2:] += np.where(block.text[2:] == block.text[:-2], kind[:-2], SPACE) * 1024  # a line feed ends each text
     slot = (run * 2654435761 >> 7) % (FEATURES - 2) + 2
     counts = np.bincount(block.text * FEATURES + slot, minlength=n * FEATURES).reshape(n, FEATURES).astype(np.float32)
     counts /= np.maximum(counts.sum(axis=1, keepdims=True), 1)
