@@ -9,13 +9,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from telemere.operators.lookups import bounded
+from telemere.session import shared_dir
 from telemere.sources.alerts import ALERT_PAGE_SIZE, with_alert_page_header
 from telemere.sources.pages import with_page_header
 
 # Pages summed as one block in running totals.
 BLOCK_PAGES = 1024
-# Largest cap that a per-task heap of rows is fit for.
-HEAP_ROWS = 100_000
+# Buckets of time that are counted to find the last row of a cap, and keys that one task may sort to find it.
+TIME_BUCKETS = 4096
+RUN_ROWS = 1_000_000
 
 
 def _keep_through(pages, last, key):
@@ -70,48 +72,83 @@ def assemble_offset_pages(pages):
     return _keep_through(pages, last, "scan_id")
 
 
+def order_by_time(df, time="time_unix_nano", descending=False, tiebreak=()):
+    """``df`` by time, then by ``tiebreak`` columns; rows without a time come last."""
+    return df.orderBy(F.desc_nulls_last(time) if descending else F.asc_nulls_last(time), *tiebreak)
+
+
 def cap_rows(df, max_rows, time="time_unix_nano", descending=False, tiebreak=()):
     """The first ``max_rows`` rows by time, as a relation later filters apply to; 0 is no cap.
 
-    Rows without a time come last. A limit is never pushed below a filter placed
-    on the result, so filters, counts and joins see the capped rows only. Small
-    caps use a top-k heap per task; larger ones are cut at a time found from
-    bucket counts, so no task ever holds the capped rows.
+    Rows without a time come last. Rows of one time are taken in the order of the
+    ``tiebreak`` columns and then of a hash of the whole row, so the same table gives
+    the same rows for every cap and on every read. The cap becomes a filter: the
+    key of the last row is found from counts and a narrow copy of the keys near
+    it, and no task or heap holds the capped rows. Finding it runs jobs.
     """
     if max_rows < 0:
         raise ValueError("max_rows must be >= 0 (0 means unlimited)")
     if max_rows == 0:
         return df
-    if max_rows <= HEAP_ROWS:
-        ordered = F.desc_nulls_last(time) if descending else F.asc_nulls_last(time)
-        return df.orderBy(ordered, *tiebreak).limit(max_rows)
-    return _cut_at_time(df, max_rows, time, descending, tiebreak)
-
-
-def _cut_at_time(df, max_rows, time, descending, tiebreak):
-    # Walk to the boundary in ever narrower buckets; each level counts one bucket of the last.
-    sign = -1 if descending else 1
-    position = F.col(time) * sign
-    inside, before = df.where(F.col(time).isNotNull()), 0
-    low = None
-    for width in (3_600_000_000_000, 1_000_000_000, 1_000_000, 1_000, 1):
-        bucket = F.floor(
-            F.call_function("div", position - F.pmod(position, F.lit(width)), F.lit(width))
-        ).alias("bucket")
-        counts = inside.select(bucket).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-        running = counts.select(
-            "bucket", "n", F.sum("n").over(W.orderBy("bucket").rowsBetween(W.unboundedPreceding, 0)).alias("upto")
-        )
-        hit = running.where(F.col("upto") + before >= max_rows).orderBy("bucket").first()
-        if hit is None:
-            # Fewer timed rows than the cap: all of them, then untimed ones.
-            untimed = df.where(F.col(time).isNull()).limit(max_rows - df.where(F.col(time).isNotNull()).count())
-            return df.where(F.col(time).isNotNull()).unionByName(untimed)
-        before += hit["upto"] - hit["n"]
-        low = hit["bucket"] * width
-        inside = df.where((position >= low) & (position < low + width))
-    rest = inside.orderBy(*tiebreak).limit(max_rows - before) if tiebreak else inside.limit(max_rows - before)
-    return df.where(position < low).unionByName(rest)
+    position = F.col(time) * (-1 if descending else 1)
+    parts = [position.isNull(), position, *map(F.col, tiebreak), F.xxhash64(F.to_json(F.struct(*df.columns)))]
+    found = _last_key(df.select(*[p.alias(f"k{i}") for i, p in enumerate(parts)]), max_rows)
+    if found is None:
+        return df
+    last, wanted, there = found
+    key, edge = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)]), F.struct(*[v.alias(f"k{i}") for i, v in enumerate(last)])
+    if wanted == there:
+        return df.where(key <= edge)
+    # The cap falls between rows that are equal in every column: any of them will do.
+    return df.where(key < edge).unionByName(df.where(key == edge).limit(wanted))
+
+
+def _last_key(keys, max_rows):
+    """The ``max_rows``-th key as literals, how many rows with it are wanted, and how many there are; or None."""
+    low, high, total = keys.agg(F.min("k1"), F.max("k1"), F.count(F.lit(1))).first()
+    if total <= max_rows:
+        return None
+    if low is None:
+        inside, before = keys, 0
+    else:
+        width = (high - low) // TIME_BUCKETS + 1
+        bucket = F.call_function("div", F.col("k1") - low, F.lit(width))
+        counts = keys.groupBy(bucket.alias("bucket")).count().collect()
+        before = 0
+        for number, count in sorted(counts, key=lambda row: (row[0] is None, row[0] or 0)):
+            if before + count >= max_rows:
+                break
+            before += count
+        inside = keys.where(bucket.eqNullSafe(F.lit(number)))
+    wanted = max_rows - before
+    names = keys.columns
+    while True:
+        # Sorted runs of the keys that are left, one a partition: equal keys are in one run.
+        runs = _stored(inside.orderBy(*names).withColumn("run", F.spark_partition_id()))
+        sizes = runs.groupBy("run").agg(F.count(F.lit(1)), F.min(F.struct(*names)), F.max(F.struct(*names))).collect()
+        ahead = 0
+        for run, size, least, most in sorted(sizes):
+            if ahead + size >= wanted:
+                break
+            ahead += size
+        inside = runs.where(F.col("run") == run).select(*names)
+        if least == most or size <= RUN_ROWS:
+            break
+        wanted -= ahead
+    values = most
+    if least != most:
+        values = inside.orderBy(*names).limit(wanted - ahead).agg(F.max(F.struct(*names))).first()[0]
+    edge = F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(inside.dtypes, values, strict=True)])
+    key = F.struct(*names)
+    less, there = runs.agg(F.count_if(key < edge), F.count_if(key == edge)).first()
+    wanted -= less
+    return [F.lit(v).cast(t) for (_, t), v in zip(keys.dtypes, values, strict=True)], wanted, there
+
+
+def _stored(df):
+    path = shared_dir(df.sparkSession, "row-keys")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sub_windows(spark, start, end, step):

@@ -33,8 +33,9 @@ def _search(pages, normalise, relation, window, tests, sort, max_rows, schema, o
         )
     rows = normalise(paging.assemble_cursor_pages(pages), on_malformed=on_malformed)
     matching = search.where_all(search.where_window(rows, window, time), tests)
-    capped = paging.cap_rows(matching, max_rows, time, sort == "-timestamp")
-    return capped.select(*schema.fieldNames())
+    newest_first = sort == "-timestamp"
+    capped = paging.cap_rows(matching, max_rows, time, newest_first)
+    return paging.order_by_time(capped, time, newest_first).select(*schema.fieldNames())
 
 
 def read_logs(

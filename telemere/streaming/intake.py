@@ -85,11 +85,16 @@ def start(spark, name, options, once=False):
 
     ``once`` processes what is there and stops. Returns the accept and reject queries.
     """
-    current = _running.get(name)
-    if current and any(q.isActive for q in current[1]):
+    key = (spark.sparkContext.applicationId, name)
+    current = _running.get(key)
+    if current and all(q.isActive for q in current[1]):
         if current[0] != options:
             raise ValueError(f"an intake named {name} already runs with different options")
         return current[1]
+    if current:
+        # One of the two has ended or failed: the pair starts again from its checkpoints.
+        for running in current[1]:
+            running.stop()
     ensure_target(spark, options.table, options.create_table)
     assessed = intake.assess(request_stream(spark, options), options.api_key, options.max_body_bytes)
 
@@ -106,22 +111,21 @@ def start(spark, name, options, once=False):
         write(intake.accepted_logs(assessed), options.table, "logs"),
         write(intake.rejected_requests(assessed), options.rejects, "rejects"),
     )
-    _running[name] = (options, queries)
+    _running[key] = (options, queries)
     return queries
 
 
 def stop(name):
     """Stop an intake: 'stopped', or 'not found'."""
-    entry = _running.pop(name, None)
-    if entry is None:
-        return "not found"
-    for running in entry[1]:
-        running.stop()
-    return "stopped"
+    keys = [key for key in _running if key[1] == name]
+    for key in keys:
+        for running in _running.pop(key)[1]:
+            running.stop()
+    return "stopped" if keys else "not found"
 
 
 def run_available(spark, name, options):
     """Take in everything that has arrived, then stop."""
     for running in start(spark, name, options, once=True):
         running.awaitTermination()
-    _running.pop(name, None)
+    _running.pop((spark.sparkContext.applicationId, name), None)

@@ -62,7 +62,7 @@ def test_large_caps_are_exact(spark, n, descending):
     df = spark.range(2100).select("id", moment.alias("time_unix_nano"))
     order = F.desc_nulls_last("time_unix_nano") if descending else F.asc_nulls_last("time_unix_nano")
     expected = [r[0] for r in df.orderBy(order).limit(n).select("time_unix_nano").collect()]
-    got = paging._cut_at_time(df, n, "time_unix_nano", descending, ("id",))
+    got = paging.cap_rows(df, n, descending=descending, tiebreak=("id",))
     times = [r[0] for r in got.select("time_unix_nano").collect()]
 
     def key(t):
@@ -243,3 +243,34 @@ def test_no_operator_needs_a_cross_join(spark):
     rows = log_rows(spark, [("a", "x", '{"d":1}', None)])
     plan = stats.log_stats(rows, compute="pc95", metric="@d")._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_cap_is_the_same_at_every_size_and_on_every_read(spark):
+    rows = spark.range(30_000).select(
+        F.when(F.col("id") % 50 == 0, None).otherwise(F.col("id") % 7).alias("time_unix_nano"),
+        F.col("id").alias("n"),
+        F.lit("x").alias("same"),
+    )
+    previous = set()
+    for cap in (1, 500, 20_000, 29_500):
+        got = {r.n for r in paging.cap_rows(rows, cap).collect()}
+        assert len(got) == cap and previous <= got
+        assert got == {r.n for r in paging.cap_rows(rows.repartition(3, "n"), cap).collect()}
+        previous = got
+
+
+def test_cap_between_equal_rows(spark):
+    rows = spark.range(1000).select(F.lit(5).cast("long").alias("time_unix_nano"), F.lit("a").alias("body"))
+    assert paging.cap_rows(rows, 300).count() == 300
+    assert paging.cap_rows(rows, 1000).count() == 1000
+
+
+def test_redelivered_spans_count_once(spark):
+    span = "trace_id string, span_id string, parent_span_id string, service_name string, status_code int, "
+    span += "duration_time_unix_nano long, start_time_unix_nano long, name string"
+    rows = [("t", "a", None, "web", 0, 5, 1, "root"), ("t", "b", "a", "db", 2, 3, 2, "call")]
+    spans = spark.createDataFrame([*rows, *rows, rows[1]], span)
+    (edge,) = correlate.edges_from_spans(spans, "p", "e").collect()
+    assert (edge.request_count, edge.error_count) == (1, 1)
+    logs = spark.createDataFrame([("t", "b", "hello")], "trace_id string, span_id string, body string")
+    assert correlate.with_span(logs, spans).count() == 1

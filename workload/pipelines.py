@@ -484,6 +484,6 @@ def _(spark, sf):
 def _(spark, sf):
     """The cut used for caps too large for a heap, forced here on any size."""
     rows = logs(spark, sf)
-    capped = paging._cut_at_time(rows, 7000, "time_unix_nano", True, ("body",))
+    capped = paging.cap_rows(rows, 7000, descending=True, tiebreak=("body",))
     k = F.get_json_object("log_attributes", "$.k").cast("long")
     return capped.groupBy("severity_text").agg(F.count(F.lit(1)).alias("n"), F.sum(k).alias("k"))
