@@ -30,10 +30,12 @@ def assemble_cursor_pages(pages):
     """Pages a cursor walk would fetch.
 
     The walk ends with the first page that has no next cursor, no events, or a
-    next cursor equal to its own; that page still counts.
+    next cursor equal to its own; that page still counts. A page that is not JSON
+    says nothing about the walk, so the pages landed behind it still count.
     """
     after, cursor = F.col("after"), F.coalesce(F.col("cursor"), F.lit(""))
-    ends = after.isNull() | (after == "") | (F.col("n_rows") == 0) | (after == cursor)
+    sound = F.col("n_rows").isNotNull()
+    ends = sound & (after.isNull() | (after == "") | (F.col("n_rows") == 0) | (after == cursor))
     last = with_page_header(pages).where(ends).groupBy("scan_id").agg(F.min("page_no").alias("last_page"))
     return _keep_through(pages, last, "scan_id")
 

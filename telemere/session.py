@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 # Settings whose value changes results; everything about sizing is left to the cluster.
 REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
+    # An object that repeats a key still parses; without this it would be lost whole.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 # Plan settings for skew and small partitions, on by default in Spark and pinned here, and the
 # method size from which generated code is split, at the JIT compiler's own limit: wide JSON

@@ -66,13 +66,16 @@ def explode_events(pages, carry=(), on_malformed="raise"):
 
 
 def with_page_header(pages):
-    """Add ``after`` (next cursor, strict string) and ``n_rows`` (events in the page).
+    """Add ``after`` (next cursor, strict string) and ``n_rows`` (events in the page, NULL if it is no JSON).
 
     Write landing tables through this once: paging then reads two narrow columns.
     """
     missing = {
         "after": J.string_at(J.parse(F.get_json_object("body", "$.meta.page")), "$.after"),
-        "n_rows": F.coalesce(F.json_array_length(F.get_json_object("body", "$.data")), F.lit(0)).cast("long"),
+        "n_rows": F.when(
+            F.get_json_object("body", "$").isNotNull(),
+            F.coalesce(F.json_array_length(F.get_json_object("body", "$.data")), F.lit(0)),
+        ).cast("long"),
     }
     return pages.select(
         "*", *[column.alias(name) for name, column in missing.items() if name not in pages.columns]

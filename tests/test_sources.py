@@ -230,3 +230,21 @@ def test_unused_columns_are_not_computed(spark):
     assert "$.attributes.attributes" not in text and "$.attributes.tags" not in text
     assert "PythonUDF" not in text and "Exchange" not in text
     assert plan.where(F.col("service_name") == "x").count() == 0
+
+
+def test_a_page_that_is_no_json_does_not_end_its_chain(spark):
+    from telemere.operators import paging
+
+    good = '{"data": [{"id": "%s"}], "meta": {"page": {"after": "%s"}}}'
+    rows = [("s", 0, "", good % ("a", "c1")), ("s", 1, "c1", "<html>busy</html>"), ("s", 2, "c2", good % ("b", "c3"))]
+    rows += [("s", 3, "c3", '{"data": []}'), ("s", 4, "c4", good % ("late", "c5"))]
+    pages = spark.createDataFrame(rows, "scan_id string, page_no long, cursor string, body string")
+    kept = paging.assemble_cursor_pages(pages).select("page_no").collect()
+    assert sorted(r.page_no for r in kept) == [0, 1, 2, 3]
+
+
+def test_an_event_that_repeats_a_key_is_not_lost(spark):
+    body = '{"data": [{"id": "x", "attributes": {"message": "m", "status": "error", "status": "error", "tags": []}}]}'
+    pages = spark.createDataFrame([("s", 0, "", body)], "scan_id string, page_no long, cursor string, body string")
+    (row,) = normalise_logs(pages).collect()
+    assert row.body == "m" and row.severity_text == "error"
