@@ -61,7 +61,7 @@ def iso_to_nanos(text):
     if not _session_is_utc():
         zoned = (
             F.when(text.rlike(_DATE_ONLY), F.concat(F.trim(text), F.lit("T00:00:00Z")))
-            .when(F.substring(text, 11, 1000).rlike(_HAS_OFFSET), text)
+            .when(F.substring(text, 11, 2147483647).rlike(_HAS_OFFSET), text)
             .otherwise(F.concat(F.trim(text), F.lit("Z")))
         )
     base = nanos_of_timestamp(F.when(text.rlike(_DATE_START), zoned).try_cast("timestamp"))

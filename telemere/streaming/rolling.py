@@ -51,9 +51,9 @@ def rolling_stats(logs, width="5 minutes", slide=None, group_by=(), metric=None,
 
 
 def drop_old(logs, max_age_nanos=MAX_AGE_NANOS):
-    """Logs not older than ``max_age_nanos`` when they were observed."""
+    """Logs not older than ``max_age_nanos`` when they were observed; those without a time have no age and stay."""
     age = F.col("observed_time_unix_nano") - F.col("time_unix_nano")
-    return logs.where(age <= max_age_nanos)
+    return logs.where(age.isNull() | (age <= max_age_nanos))
 
 
 def content_key():
@@ -62,10 +62,14 @@ def content_key():
 
 
 def drop_redelivered(logs, watermark=MAX_AGE):
-    """Logs without repeats of the same content: within the watermark when streaming, else overall."""
+    """Logs without repeats of the same content: within the watermark when streaming, else overall.
+
+    Of a batch's repeats the one observed first stays.
+    """
     keyed = logs.withColumn("_content", content_key())
     if not logs.isStreaming:
-        return keyed.dropDuplicates(["_content"]).drop("_content")
+        first = F.min(F.struct("observed_time_unix_nano", *[c for c in logs.columns if c != "observed_time_unix_nano"]))
+        return keyed.groupBy("_content").agg(first.alias("_log")).select("_log.*").select(*logs.columns)
     timed = keyed.withColumn("_event_time", event_time(F.col("time_unix_nano")))
     unique = timed.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark(["_content"])
     return unique.drop("_content", "_event_time")
