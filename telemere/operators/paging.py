@@ -98,7 +98,7 @@ def cap_rows(df, max_rows, time="time_unix_nano", descending=False, tiebreak=())
     if found is None:
         return df
     last, wanted, there = found
-    key, edge = F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)]), F.struct(*[v.alias(f"k{i}") for i, v in enumerate(last)])
+    key, edge = (F.struct(*[v.alias(f"k{i}") for i, v in enumerate(values)]) for values in (parts, last))
     if wanted == there:
         return df.where(key <= edge)
     # The cap falls between rows that are equal in every column: any of them will do.
