@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 SIZE = 5
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 20
 SPACES = [0x20, *range(0x09, 0x0E)]
 
 _rng = np.random.default_rng(20240229)
