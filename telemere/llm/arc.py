@@ -300,7 +300,10 @@ def decide(records, narrow, least=LEAST_REVISIT):
     order = F.struct("page_id", "archive", "position")
     groups = (
         keys.groupBy("digest")
-        .agg(F.max_by(F.struct("page_id", "archive", "position", "uri", "date"), order).alias("first"), F.count(F.lit(1)).alias("copies"))
+        .agg(
+            F.max_by(F.struct("page_id", "archive", "position", "uri", "date"), order).alias("first"),
+            F.count(F.lit(1)).alias("copies"),
+        )
         .filter("copies > 1")
     )
     probed = bloom.probe(

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from telemere.llm.tables import map_arrow
 
-KEPT_CHUNKS = 500_000
+KEPT_CHUNKS = 250_000
 LONGEST_KEPT = 64
 
 # White space of the Unicode standard, and the cut of a text into chunks (fixed values of the byte-level vocabulary).
@@ -128,7 +128,7 @@ class Encoder:
         self.shorter = {}
         for t, n in number.items():
             self.shorter[n] = next((number[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in number), None)
-        self.compatible = functools.lru_cache(maxsize=500_000)(self._compatible)
+        self.compatible = functools.lru_cache(maxsize=200_000)(self._compatible)
         self.chunk = regex.compile(CHUNK)
         self.boundary = regex.compile(rf"(?<=.)(?= [^{SPACE}])", regex.S)
         self.odd_space = regex.compile(rf" (?:[{SPACE}]|\Z)")

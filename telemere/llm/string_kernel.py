@@ -219,7 +219,7 @@ class Model:
 def raw_scores(texts, model):
     """The highest unit score of each text."""
     out = np.full(len(texts), model.floor)
-    for lo, hi in blocks(texts):
+    for lo, hi in blocks(texts, 1 << 18):
         array, ends = codes(texts[lo:hi])
         units = units_of(array)
         score = unit_scores(units, model.table) + model.bias

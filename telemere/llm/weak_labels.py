@@ -78,9 +78,11 @@ def read(texts):
     first = np.flatnonzero(solid & np.r_[True, ~solid[:-1]])
     last = np.flatnonzero(solid & np.r_[~solid[1:], True]) + 1
     owner = text[first]
-    power = np.cumprod(np.r_[np.uint64(1), np.full(max(len(array) - 1, 0), 0x9E3779B97F4A7C15, np.uint64)], dtype=np.uint64)
+    base = np.full(max(len(array) - 1, 0), 0x9E3779B97F4A7C15, np.uint64)
+    power = np.cumprod(np.r_[np.uint64(1), base], dtype=np.uint64)
     # A word's hash: a polynomial in its characters, brought to the same power for all words.
-    sums = np.r_[np.uint64(0), np.cumsum((array.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)) * power[::-1], dtype=np.uint64)]
+    value = array.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(1)
+    sums = np.r_[np.uint64(0), np.cumsum(value * power[::-1], dtype=np.uint64)]
     word = (sums[last] - sums[first]) * power[first] if len(first) else np.zeros(0, np.uint64)
     again = np.zeros(len(first), bool)
     if len(first) > 1:
@@ -174,7 +176,8 @@ def _count_rows(batches):
             number, times = np.unique(patterns(read(texts[lo:hi])), return_counts=True)
             for p, k in zip(number.tolist(), times.tolist(), strict=True):
                 sums[p] = sums.get(p, 0) + k
-    yield pa.record_batch([pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())], names=["pattern", "n"])
+    columns = [pa.array(list(sums), pa.int64()), pa.array(list(sums.values()), pa.int64())]
+    yield pa.record_batch(columns, names=["pattern", "n"])
 
 
 @dataclass
