@@ -66,7 +66,7 @@ def drop_ids(docs, ids):
 
 
 # Bytes of one Arrow batch: what a Python task holds at once does not depend on how long texts are.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "4m"
 
 
 def map_arrow(df, function, schema):
