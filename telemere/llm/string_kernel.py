@@ -332,7 +332,7 @@ def fit(docs, labels, max_docs=3000, max_sentences=80_000, n_landmarks=192, cost
     strength = count[1] * np.maximum(lift, 0)
     expected = count[0] * toxic.sum() / (~toxic).sum()
     excess = (count[1] - expected) / np.sqrt(count[1] + expected + 1)
-    telling = (lift > 1) & (excess >= max(1.0, min(4.0, excess.max() / 3)))
+    telling = (lift > 1) & (excess >= max(1.4, min(4.0, excess.max() / 2)))
     value = np.where(telling, strength, -1.0)
     toxic_bags = [np.array([index[w] for w in bag]) for mark, bag in zip(toxic, bags, strict=True) if mark and bag]
     clean_words = np.flatnonzero(count[0] > 0)
