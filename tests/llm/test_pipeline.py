@@ -7,7 +7,7 @@ from telemere.llm import queries, string_kernel
 from telemere.llm.tables import kept, table
 from tests.llm.data import shingles
 
-SF = os.environ.get("TELEMERE_TEST_SF", "/root/testdata/sf0.001")
+SF = os.environ.get("TELEMERE_TEST_LLM_SF", "/root/testdata/sf0.01")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables are not here")
 
 
@@ -21,9 +21,11 @@ def test_stages_against_their_contracts(spark):
             assert docs.columns == before.columns
 
     before, after = seen["toxicity"]
-    toxic = {r.doc_id for r in table(spark, SF, "labels").filter("toxic = 1").collect()}
+    marks = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
     gone = {r.doc_id for r in before} - {r.doc_id for r in after}
-    assert len(gone & toxic) >= 0.9 * len(toxic & {r.doc_id for r in before})
+    # Some forty toxic documents in four languages teach only the words that they hold.
+    toxic, clean = ({i for i, m in marks.items() if m == mark} for mark in (1, 0))
+    assert len(gone & toxic) >= 0.6 * len(toxic) and len(gone & clean) <= 0.05 * len(clean)
 
     before, after = seen["exact_dedup"]
     largest = {}
