@@ -6,8 +6,13 @@ rate is its fitted tokens over its tokens. A document stays when a number drawn
 its id and text is below its cell's rate, at most 1, so the kept tokens meet the
 targets in expectation and the same table always gives the same sample.
 
-Cells are a table: there are as many as combinations that occur, and each margin is
-a partial sum and a join, so neither the driver nor one task holds them all.
+Cells are a table: there are as many as combinations that occur. More than ``CELLS_SENT`` are
+fitted by partial sums and joins, so neither the driver nor one task holds them all; fewer
+are fitted by the same rounds in the driver.
+
+Fitting ends when each target that its label's tokens can fill is met to a relative
+``tolerance``. Targets can be at odds once a cell gives all it has; then the rates settle
+without meeting them, and a ``RuntimeWarning`` gives the largest error that is left.
 
 Defined cases: null and empty source or language are the label ``unknown``; a null or
 empty text has 0 tokens and takes the rate of its cell, and cells without any token
@@ -15,23 +20,28 @@ have rate 1, as nothing can be weighed; repeated rows draw the same number and s
 go together; an empty table gives an empty result; extra columns may have any name.
 """
 
+import warnings
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from telemere.llm.tables import fresh, join_groups, kept
 
-#: Marks of documents' topics in order of precedence (fixed patterns of this library); the rest is ``prose``. No mark
-#: looks far beyond its place, so a long text takes time in proportion to its length.
+#: Marks of documents' topics in order of precedence (fixed patterns of this library); the rest is ``prose``. Runs are
+#: taken whole and never given back, so a text takes time in proportion to its length, however long its lines are.
 TOPICS = [
     ("legal", r"(?i)licen[sc]ed? under|all rights reserved|released under"),
-    ("contact", r"\w@\w[\w-]{0,62}\.\w|\+\d[\d ()-]{7}"),
-    ("table", r"\|[^|\n]{1,200}\|[^|\n]{1,200}\|"),
-    ("noise", r"(?:[*%$&#!]{2}\s\S{1,40}){3}"),
+    ("contact", r"[\w.]@[\w.-]+\.\w|\+\d[\d ()-]{7}"),
+    ("table", r"\|[^|\n]*+\|[^|\n]*+\|"),
+    ("noise", r"[*%$&#!]{2}\s(?:\S*+(?<=[*%$&#!]{2})\s){2}"),
 ]
 MARGINS = ("source", "lang", "topic")
 #: The power that flattens each margin's tokens to its targets, and the part of all tokens that stays.
 POWERS = {"source": 0.7, "lang": 0.7, "topic": 0.9}
 SHARE = 0.4
-#: Cells with more than one document in so many are broadcast; the others join by shuffle.
+#: Up to so many cells are fitted in the driver and broadcast; of more, those with more than one document in so many
+#: are broadcast and the others join by shuffle.
 CELLS_SENT = 100_000
 UNKNOWN = "unknown"
 DRAWS = 1 << 52
@@ -74,39 +84,93 @@ def cells_of(docs):
 
 
 def targets(cells, margin, power, budget):
-    """Target tokens of each label of a margin: ``budget`` shared by tokens ** power."""
+    """Target tokens of each label of a margin: ``budget`` shared by tokens ** power; and whether its tokens fill it."""
     sums = cells.groupBy(margin).agg(F.sum("tokens").alias("now"))
     whole = sums.agg(F.sum(F.pow("now", F.lit(power)))).first()[0] or 1.0
-    return sums.select(margin, (F.pow("now", F.lit(power)) * (budget / whole)).alias("target"))
+    return sums.select(margin, "now", (F.pow("now", F.lit(power)) * (budget / whole)).alias("target")).select(
+        margin, "target", (F.col("target") <= F.col("now")).alias("feasible")
+    )
 
 
-def fit(cells, powers=POWERS, share=SHARE, rounds=15, tolerance=2e-3):
+def fit(cells, powers=POWERS, share=SHARE, rounds=200, tolerance=1e-3, sent=CELLS_SENT):
     """Cells with their ``rate``, the part of their tokens to keep, from 0 to 1.
 
     ``powers``: for each margin the power that flattens it (1 keeps it, 0 evens it out).
     ``share``: the part of all tokens to keep. A cell cannot give more tokens than it
-    has, so a round ends by cutting it there. Stops when no rate moves by more than
-    ``tolerance`` in a round, or after ``rounds``. Each round's table ends the lineage.
+    has, so a round ends by cutting it there. Stops when a round finds every feasible
+    target met to a relative ``tolerance``. Rates that settle before that, or not within
+    ``rounds``, are reported by a warning.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    fitted = cells.withColumn("rate", F.lit(float(share) if total else 1.0))
     if not total:
-        return fitted
+        return cells.withColumn("rate", F.lit(1.0))
+    if cells.limit(sent + 1).count() <= sent:
+        rated, off = _fit_few(cells, powers, share, rounds, tolerance)
+    else:
+        rated, off = _fit_many(cells, total, powers, share, rounds, tolerance)
+    if off > tolerance:
+        warnings.warn(f"raking leaves a target off by {off:.3g} of it", RuntimeWarning, stacklevel=2)
+    return rated
+
+
+def _settled(off, step, tolerance):
+    """Whether a round was the last: all feasible targets met, or no rate moves any more."""
+    return off <= tolerance or step <= tolerance / 1000
+
+
+def _fit_few(cells, powers, share, rounds, tolerance):
+    """Rated cells and the largest relative error of a feasible target, by arrays in the driver."""
+    table = cells.select(*MARGINS, "tokens", "docs").toArrow()
+    tokens = table["tokens"].to_numpy().astype(float)
+    rate = np.full(len(tokens), float(share))
+    margins = []
+    for m in MARGINS:
+        place = np.unique(np.array(table[m].to_pylist(), object), return_inverse=True)[1]
+        now = np.bincount(place, tokens)
+        flat = np.where(now > 0, now ** powers[m], 0.0 if powers[m] else 1.0)
+        target = flat * (tokens.sum() * share / flat.sum())
+        margins.append((place, target, (target <= now) & (target > 0)))
+    for _ in range(rounds):
+        was, off = rate, 0.0
+        for place, target, feasible in margins:
+            sums = np.bincount(place, rate * tokens)
+            factor = np.where(sums > 0, target / np.where(sums > 0, sums, 1.0), 1.0)
+            off = max(off, float(np.abs(1 / factor[feasible] - 1).max(initial=0.0)))
+            rate = rate * factor[place]
+        rate = np.minimum(rate, 1.0)
+        if _settled(off, float(np.abs(rate - was).max()), tolerance):
+            break
+    rated = table.append_column("rate", pa.array(rate, pa.float64()))
+    return cells.sparkSession.createDataFrame(rated), off
+
+
+def _fit_many(cells, total, powers, share, rounds, tolerance):
+    """The same by tables. Each round's table ends the lineage."""
+    fitted = cells.select(*MARGINS, "tokens", "docs").withColumn("rate", F.lit(float(share)))
     wanted = {m: kept(targets(cells, m, powers[m], total * share), "targets") for m in MARGINS}
     for _ in range(rounds):
-        moved = fitted.withColumn("was", F.col("rate"))
+        moved = fitted.withColumn("was", F.col("rate")).withColumn("off", F.lit(0.0))
         for margin in MARGINS:
             sums = moved.groupBy(margin).agg(F.sum(F.col("rate") * F.col("tokens")).alias("sum"))
             factor = sums.join(wanted[margin], margin).select(
-                margin, F.when(F.col("sum") > 0, F.col("target") / F.col("sum")).otherwise(1.0).alias("factor")
+                margin,
+                F.when(F.col("sum") > 0, F.col("target") / F.col("sum")).otherwise(1.0).alias("factor"),
+                F.when(F.col("feasible") & (F.col("target") > 0), F.abs(F.col("sum") / F.col("target") - 1))
+                .otherwise(0.0)
+                .alias("error"),
+            )
+            moved = (
+                moved.join(factor, margin)
+                .withColumn("rate", F.col("rate") * F.col("factor"))
+                .withColumn("off", F.greatest("off", "error"))
+                .drop("factor", "error")
             )
-            moved = moved.join(factor, margin).withColumn("rate", F.col("rate") * F.col("factor")).drop("factor")
         moved = kept(moved.withColumn("rate", F.least("rate", F.lit(1.0))), "cells")
-        step = moved.agg(F.max(F.abs(F.col("rate") - F.col("was")))).first()[0]
+        off, step = moved.agg(F.max("off"), F.max(F.abs(F.col("rate") - F.col("was")))).first()
         fitted = moved.select(*MARGINS, "tokens", "docs", "rate")
-        if step <= tolerance:
+        if _settled(off, step, tolerance):
             break
-    return fitted
+    return fitted, off
 
 
 def weigh(docs, powers=POWERS, share=SHARE):
@@ -120,7 +184,10 @@ def weigh(docs, powers=POWERS, share=SHARE):
     key, size, rate, stays = (fresh(n) for n in ("cell", "docs", "rate", "stays"))
     groups = rated.select(F.struct(*MARGINS).alias(key), F.col("docs").alias(size), F.col("rate").alias(rate))
     named = docs.withColumn(key, F.struct(*[e.alias(m) for m, e in labels(docs).items()]))
-    joined = join_groups(named, groups, key, size, total, CELLS_SENT)
+    if rated.limit(CELLS_SENT + 1).count() <= CELLS_SENT:
+        joined = named.join(F.broadcast(groups), key, "left")
+    else:
+        joined = join_groups(named, groups, key, size, total, CELLS_SENT)
     tokens = fresh("tokens")
     out = joined.withColumn(tokens, n_tokens(F.col("text"))).withColumn(
         stays, draw(F.col("doc_id"), F.col("text")) < F.col(rate)

@@ -87,3 +87,45 @@ def test_awkward_rows(mixed):
 def test_empty_table(spark):
     assert plain(raking.mix(empty(spark))) == []
     assert plain(raking.sample(empty(spark))) == []
+
+
+def uneven(spark):
+    """Cells in which a third of the tokens, of one source, face many small sources, mostly in other languages."""
+    rows = [("hot", f"l{j}", t, 40_000 if j == 0 else 300, 9) for j in range(6) for t in ("prose", "table")]
+    rows += [(f"s{i}", f"l{j}", "prose" if (i + j) % 3 else "table", 20 + 7 * ((i * j) % 90), 2)
+             for i in range(700) for j in range(6) if (i + j) % 4]
+    return spark.createDataFrame(rows, "source string, lang string, topic string, tokens long, docs long")
+
+
+@pytest.mark.parametrize("sent", [raking.CELLS_SENT, 0])
+def test_feasible_targets_are_met_by_their_own_size(spark, sent):
+    powers = {"source": 0.9, "lang": 0.5, "topic": 0.9}
+    rated = raking.fit(uneven(spark), powers, 0.05, sent=sent).collect()
+    total = sum(r.tokens for r in rated)
+    for m in raking.MARGINS:
+        have, got = collections.Counter(), collections.Counter()
+        for r in rated:
+            have[r[m]] += r.tokens
+            got[r[m]] += r.rate * r.tokens
+        whole = sum(v ** powers[m] for v in have.values())
+        for k, v in have.items():
+            goal = v ** powers[m] * total * 0.05 / whole
+            assert goal > v or got[k] == pytest.approx(goal, rel=0.002), (m, k)
+
+
+@pytest.mark.parametrize("sent", [raking.CELLS_SENT, 0])
+def test_targets_that_are_not_met_are_reported(spark, sent):
+    with pytest.warns(RuntimeWarning, match="off by"):
+        raking.fit(uneven(spark), rounds=1, sent=sent)
+
+
+def test_topics_look_at_whole_lines(spark):
+    texts = {
+        "table": [f"a | {'x' * 300} | y | z", "|| b |", f"|{'c ' * 5000}||"],
+        "noise": [f"** {'x' * 90}** y** z", "&& ** %% "],
+        "contact": [f"me@{'h' * 80}.example", "a.@my.host-name.example"],
+        "prose": ["a | b\n| c", "** x ** y", "x" * 300_000, "** " + "x" * 300_000, "|" + "x" * 300_000],
+    }
+    rows = spark.createDataFrame([(t, k) for k, found in texts.items() for t in found], "text string, topic string")
+    found = rows.select("topic", raking.topic(raking.F.col("text")).alias("found")).collect()
+    assert [(r.topic, r.found) for r in found if r.topic != r.found] == []
