@@ -79,7 +79,12 @@ class Words:
 def words_of(array):
     """Runs of letters of a code array."""
     table = _tables()
-    script = np.where(array < 0x10000, table[np.minimum(array, 0xFFFF)], OTHER)
+    script = table[np.minimum(array, 0xFFFF)]
+    above = np.flatnonzero(array > 0xFFFF)
+    if len(above):  # judged once for each distinct code point
+        points, which = np.unique(array[above], return_inverse=True)
+        letter = np.array([chr(c).isalpha() for c in points.tolist()])
+        script[above] = np.where(letter, OTHER, -1)[which]
     at = np.flatnonzero(script >= 0)
     if not len(at):
         none = np.zeros(0, np.int64)
@@ -149,7 +154,7 @@ def viterbi(scores, starts, lengths, penalty=SWITCH):
     total, n_lang = scores.shape
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = starts[order], lengths[order]
-    came = np.zeros((total, n_lang), np.int8)
+    came = np.zeros((total, n_lang), np.int16 if n_lang <= 1 << 15 else np.int32)
     best = np.zeros((len(starts), n_lang), np.float64)
     live = np.searchsorted(-lengths, 0, "left")  # texts with a word
     step = 0
@@ -165,8 +170,8 @@ def viterbi(scores, starts, lengths, penalty=SWITCH):
         best[:live] -= best[:live].max(axis=1, keepdims=True)
         step += 1
         live = int(np.searchsorted(-lengths, -step, "left")) if step else live
-    label = np.zeros(total, np.int8)
-    state = best.argmax(axis=1).astype(np.int8)
+    label = np.zeros(total, came.dtype)
+    state = best.argmax(axis=1).astype(came.dtype)
     for step in range(int(lengths[0]) - 1 if len(lengths) else -1, -1, -1):
         live = int(np.searchsorted(-lengths, -step, "left"))
         at = starts[:live] + step

@@ -74,3 +74,18 @@ def test_no_rows_and_nothing_learnt(spark):
     model = lang_spans.fit(empty(spark))
     assert plain(lang_spans.identify(empty(spark), model)) == []
     assert {r.lang_pred for r in lang_spans.identify(documents(spark), model).collect()} == {"und"}
+
+
+def test_more_languages_than_a_byte_counts():
+    n = 300
+    scores = np.full((n, n), -20.0, np.float32)
+    scores[np.arange(n), np.arange(n)] = 0.0
+    label = lang_spans.viterbi(scores, np.array([0]), np.array([n]), 1.0)
+    assert label.tolist() == list(range(n))
+
+
+def test_emoji_are_no_letters(taught):
+    _, model = taught
+    assert lang_spans.label_texts(["🙂🙃 🎉"], model) == (["und"], [0.0])
+    words = lang_spans.words_of(lang_spans.codes(["ab🙂 𝐜𝐝 𠀀"])[0])
+    assert words.length.tolist() == [2, 2, 1]
