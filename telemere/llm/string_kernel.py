@@ -1,8 +1,10 @@
 """Toxicity: a support vector machine on a gap-weighted subsequence string kernel with Nyström landmarks.
 
 A *unit* is a word reduced to letters: digits that stand for letters are read as
-those, every other sign inside a word is dropped, and neighbouring single letters
-("i d i o t") join to one unit. The kernel of two units compares their subsequences of
+those, mathematical and full-width letters as plain ones, every other sign inside a word is
+dropped, and neighbouring single letters ("i d i o t", "i - d - i - o - t") of a text join to one
+unit, whatever stands between them. A run of neighbouring words of at most ``SHORT`` letters ("id iot") is scored
+again by twos and threes, with the blanks as gap letters. The kernel of two units compares their subsequences of
 three letters that span at most ``MAX_SPAN`` letters, each weighted ``DECAY ** span``,
 so "idxiot" and "i-d-i-o-t" stay near "idiot"; it is divided by a length term, which
 keeps it positive definite. Units longer than ``WINDOW`` letters count by overlapping
@@ -22,6 +24,7 @@ toxic labels, 0 if there is none. Extra columns of any name pass through ``score
 """
 
 import functools
+import unicodedata
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,11 +50,14 @@ PATTERNS = [(a, b) for b in range(2, MAX_SPAN) for a in range(1, b)]
 LOOKALIKES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
 
 BREAK, DROPPED = 254, 255
+#: Words of at most so many letters are also scored as a run, with this class for the blanks between them.
+SHORT = 5
+GAP = 63
 
 
 @functools.cache
 def _letter_classes():
-    """Code point -> letter class 1..63 (0 marks a unit's edges), BREAK for white space, DROPPED for the rest."""
+    """Code point -> letter class 1..62 (0 marks a unit's edges, GAP a blank), BREAK for white space, DROPPED for the rest."""
     table = np.full(1 << 16, DROPPED, np.uint8)
     for code in range(1 << 16):
         char = chr(code)
@@ -60,12 +66,21 @@ def _letter_classes():
         elif "a" <= char <= "z":
             table[code] = code - 96
         elif char.isalpha():
-            table[code] = 27 + code % 37
+            table[code] = 27 + code % 36
     for sign, letter in LOOKALIKES.items():
         table[ord(sign)] = ord(letter) - 96
     return table
 
 
+@functools.cache
+def _class_above(code):
+    """Letter class of a code point above U+FFFF."""
+    plain = unicodedata.normalize("NFKC", chr(code)).lower()
+    if len(plain) == 1 and ord(plain) <= 0xFFFF:
+        return int(_letter_classes()[ord(plain)])
+    return 27 + code % 36 if chr(code).isalpha() else DROPPED
+
+
 @dataclass
 class Units:
     letters: np.ndarray  # letter classes of all units, one after the other, each between two edge marks
@@ -74,11 +89,14 @@ class Units:
     place: np.ndarray  # position in the code array of each unit's first letter
 
 
-def units_of(array):
-    """The units of a code array of lower-cased texts that end in white space."""
+def units_of(array, ends=None):
+    """The units of a code array of lower-cased texts that end in white space; without ``ends`` it is one text."""
     table = _letter_classes()
     kind = table[np.minimum(array, 0xFFFF)]
-    kind[array > 0xFFFF] = DROPPED
+    above = np.flatnonzero(array > 0xFFFF)
+    if len(above):  # read as the letters that they stand for, once for each distinct code point
+        points, which = np.unique(array[above], return_inverse=True)
+        kind[above] = np.array([_class_above(c) for c in points.tolist()], np.uint8)[which]
     at = np.flatnonzero(kind != DROPPED)
     kind = kind[at]
     gap = kind == BREAK
@@ -89,8 +107,9 @@ def units_of(array):
         return Units(letters, none, none, none)
     first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
     single = np.diff(np.r_[first, len(letters)]) == 1
-    # A line break between two single letters also joins them, unless the text ends there.
-    merged = np.r_[False, single[1:] & single[:-1] & (at[first[1:]] - at[first[:-1]] <= 3)]
+    # Whatever stands between two single letters joins them, unless the text ends there.
+    owner = np.zeros(len(first), np.int64) if ends is None else np.searchsorted(ends, at[first], "right")
+    merged = np.r_[False, single[1:] & single[:-1] & (owner[1:] == owner[:-1])]
     first = first[~merged]
     opens = np.zeros(len(letters), np.int64)
     opens[first] = 1
@@ -101,6 +120,30 @@ def units_of(array):
     return Units(framed, start, np.diff(np.r_[start, len(framed)]), at[first])
 
 
+def short_runs(units, owner, size):
+    """Each ``size`` neighbouring short units of a text as one with GAP between, and the place of its first unit."""
+    n = len(units.start) - size + 1
+    if n <= 0:
+        none = np.zeros(0, np.int64)
+        return Units(units.letters[:0], none, none, none), none
+    short = units.length <= SHORT + 2
+    whole = owner[:n] == owner[size - 1 :]
+    for k in range(size):
+        whole = whole & short[k : n + k]
+    at = np.flatnonzero(whole)
+    start = units.start[at]
+    spans = units.start[at + size - 1] + units.length[at + size - 1] - start
+    piece = np.repeat(np.arange(len(at)), spans)
+    step = np.arange(len(piece)) - np.repeat(np.cumsum(spans) - spans, spans)
+    letters = units.letters[start[piece] + step]
+    inner = (letters == 0) & (step > 0) & (step < spans[piece] - 1)
+    # Two edge marks meet between units: the first becomes the gap, the second goes.
+    second = inner & np.r_[False, inner[:-1]] if len(inner) else inner
+    letters = np.where(inner, GAP, letters)[~second].astype(np.uint8)
+    length = spans - (size - 1)
+    return Units(letters, np.cumsum(length) - length, length, units.place[at]), at
+
+
 def _windows(units):
     """Units cut so that none is longer than WINDOW: (start, length, unit) of each piece."""
     index = np.arange(len(units.start))
@@ -156,7 +199,7 @@ def words_of(texts):
     out = []
     for lo, hi in blocks(texts):
         array, ends = codes(texts[lo:hi])
-        units = units_of(array)
+        units = units_of(array, ends)
         flat = units.letters.tobytes()
         bags = [set() for _ in range(hi - lo)]
         owner = np.searchsorted(ends, units.place, "right")
@@ -221,11 +264,13 @@ def raw_scores(texts, model):
     out = np.full(len(texts), model.floor)
     for lo, hi in blocks(texts, 1 << 18):
         array, ends = codes(texts[lo:hi])
-        units = units_of(array)
-        score = unit_scores(units, model.table) + model.bias
+        units = units_of(array, ends)
         owner = np.searchsorted(ends, units.place, "right")
         best = np.full(hi - lo, model.floor)
-        np.maximum.at(best, owner, score)
+        np.maximum.at(best, owner, unit_scores(units, model.table) + model.bias)
+        for size in (2, 3):
+            runs, at = short_runs(units, owner, size)
+            np.maximum.at(best, owner[at], unit_scores(runs, model.table) + model.bias)
         out[lo:hi] = best
     return out
 

@@ -103,3 +103,16 @@ def test_no_rows_and_no_labels(spark):
     assert all(r.predicted == 0 for r in sk.classify(documents(spark), model).collect())
     assert plain(sk.classify(empty(spark), model)) == []
     assert plain(sk.classify(empty(spark), sk.fit(empty(spark), none))) == []
+
+
+def test_letters_join_over_any_signs_and_blanks():
+    same = [word(t) for t in ("idiot", "i - d - i - o - t", "i   d   i   o   t", "i\n\n.. d * i ** o  t", "𝐢𝐝𝐢𝐨𝐭")]
+    assert len(set(same)) == 1
+    assert [len(bag) for bag in sk.words_of(["an i", "d an"])] == [2, 2]
+
+
+def test_short_words_are_scored_as_runs(trained):
+    _, _, model = trained
+    texts = ["you wort hless one", "you path etic", "you are so dis gust ing now", "the thing of the reason and on it er on"]
+    p = model.probability(sk.raw_scores(texts, model))
+    assert all(p[:3] >= 0.3) and p[3] < 0.3
