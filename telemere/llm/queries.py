@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from telemere.llm import arc, bpe, exact_dedup, exact_topk, lang_spans, ngram_join, raking, string_kernel, weak_labels, wrappers
+from telemere.llm import arc, bpe, conversations, conversations_sql, exact_dedup, exact_topk, lang_spans, ngram_join, raking, string_kernel, weak_labels, wrappers
 from telemere.llm.tables import table
 
 QUERIES = {}
@@ -103,3 +103,8 @@ def op3_main_text(spark, sf):
 @query("op1_quality")
 def op1_quality(spark, sf):
     return weak_labels.classify(table(spark, sf, "documents"))
+
+
+@query("op11_conversations", conversations_sql.REPAIR)
+def op11_conversations(spark, sf):
+    return conversations.repair_damaged(table(spark, sf, "conversations"))
