@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from telemere.llm import arc, bpe, conversations, conversations_sql, exact_dedup, exact_topk, lang_spans, ngram_join, raking, string_kernel, weak_labels, wrappers
+from telemere.llm import arc, bpe, conversations, conversations_sql, exact_dedup, exact_topk, hard_negatives, lang_spans, ngram_join, raking, string_kernel, weak_labels, wrappers
 from telemere.llm.tables import table
 
 QUERIES = {}
@@ -108,3 +108,32 @@ def op1_quality(spark, sf):
 @query("op11_conversations", conversations_sql.REPAIR)
 def op11_conversations(spark, sf):
     return conversations.repair_damaged(table(spark, sf, "conversations"))
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH vectors AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0
+    ), scored AS (
+        SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+            CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+        FROM vectors a JOIN vectors c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+    ), positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+    )
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    QUALIFY rank <= 10
+    """,
+)
+def op13_hard_negatives(spark, sf):
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
+    return hard_negatives.mine(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, relabelled)
