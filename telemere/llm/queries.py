@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from telemere.llm import arc, bpe, conversations, conversations_sql, exact_dedup, exact_topk, hard_negatives, lang_spans, ngram_join, raking, string_kernel, weak_labels, wrappers
+from telemere.llm import arc, bpe, conversations, conversations_sql, exact_dedup, exact_topk, hard_negatives, interpolation, lang_spans, ngram_join, raking, string_kernel, weak_labels, wrappers
 from telemere.llm.tables import table
 
 QUERIES = {}
@@ -137,3 +137,9 @@ def op11_conversations(spark, sf):
 def op13_hard_negatives(spark, sf):
     relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label").cast("long"))
     return hard_negatives.mine(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, relabelled)
+
+
+@query("op12_lm_score")
+def op12_lm_score(spark, sf):
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return interpolation.score(table(spark, sf, "documents"), held_out)
