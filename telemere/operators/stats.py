@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from telemere import schemas
-from telemere.operators.groups import exact_percentile, top_k_per_group
+from telemere.operators.groups import counted_values, exact_percentile, top_k_per_group
 from telemere.operators.lookups import BROADCAST_ROWS, salted_join
 from telemere.operators.search import facet
 
@@ -122,12 +122,13 @@ def _aggregator(base, keys, options):
             return df.groupBy(*prefix).agg(total.alias("value"))
 
     else:
-        finest, p = base, PERCENTILES[compute]
+        p = PERCENTILES[compute]
+        finest = base if options.approx else counted_values(base, keys, "_m")
 
         def measure(df, prefix):
             if options.approx:
                 return df.groupBy(*prefix).agg(F.percentile_approx("_m", p).alias("value"))
-            return exact_percentile(df.select(*prefix, "_m"), prefix, "_m", p)
+            return exact_percentile(df.select(*prefix, "_m", "_n"), prefix, "_m", p)
 
     def aggregate(prefix, kept=None, kept_keys=()):
         rows = finest

@@ -108,14 +108,12 @@ def test_percentiles_are_exact_on_large_skewed_groups(spark, p):
     expected = {
         k: np.percentile(v.dropna(), p * 100) for k, v in df.toPandas().groupby("g")["v"]
     }
-    for max_rows in (100, 1):
-        # With room for one group only, the brackets are joined by salted shuffle instead.
-        found = groups.exact_percentile(df, ["g"], "v", p, max_rows).collect()
-        got = {r.g: r.value for r in found}
-        assert len(found) == len(got) and got.keys() == expected.keys()
-        for name in got:
-            assert got[name] == pytest.approx(expected[name], rel=1e-12)
-    total = groups.exact_percentile(df.select("v"), [], "v", p).first()[0]
+    found = groups.exact_percentile(groups.counted_values(df, ["g"], "v"), ["g"], "v", p).collect()
+    got = {r.g: r.value for r in found}
+    assert len(found) == len(got) and got.keys() == expected.keys()
+    for name in got:
+        assert got[name] == pytest.approx(expected[name], rel=1e-12)
+    total = groups.exact_percentile(groups.counted_values(df, [], "v"), [], "v", p).first()[0]
     assert total == pytest.approx(np.percentile(df.toPandas()["v"].dropna(), p * 100), rel=1e-12)
 
 
@@ -235,10 +233,39 @@ def test_edge_maps_combine_by_name(spark):
 
 def test_percentile_of_groups_without_values(spark):
     df = spark.createDataFrame([("a", None), ("b", 1.0), ("b", None), ("b", 2.0)], "g string, v double")
-    got = {r.g: r.value for r in groups.exact_percentile(df, ["g"], "v", 0.5).collect()}
+    got = {r.g: r.value for r in groups.exact_percentile(groups.counted_values(df, ["g"], "v"), ["g"], "v", 0.5).collect()}
     assert got == {"a": None, "b": 1.5}
 
 
+@pytest.mark.parametrize("p", [0.0, 0.4, 0.75, 1.0])
+def test_percentiles_of_values_of_every_size(spark, p):
+    one = 1.0
+    neighbours = [np.nextafter(one, 2, dtype=float)]
+    for _ in range(40):
+        neighbours.append(np.nextafter(neighbours[-1], 2))
+    tiny = [5e-324 * i for i in range(1, 9)]
+    values = [*neighbours, *tiny, *[-x for x in neighbours], 0.0, -0.0, 1e308, -1e308, 1.7e-300, 3.0, 3.0, 3.0]
+    df = spark.createDataFrame([(float(v), "a" if i % 2 else "b") for i, v in enumerate(values)], "v double, g string")
+    ordered = sorted(values)
+    rank = (len(ordered) - 1) * p
+    low, high = ordered[int(np.floor(rank))], ordered[int(np.ceil(rank))]
+    got = groups.exact_percentile(groups.counted_values(df, [], "v"), [], "v", p).first()[0]
+    assert got == low + (rank - np.floor(rank)) * (high - low)
+
+
+def test_percentiles_sort_histograms_only_and_read_the_rows_once(spark):
+    rows = log_rows(spark, [("a", "x", '{"d":1}', None), ("b", "x", '{"d":2}', None)])
+    result = stats.log_stats(rows, compute="pc95", metric="@d", group_by=["service", "status"])
+    assert result.count() == 2
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "raise_error" not in plan and "percentile" not in plan
+    result = stats.log_stats(rows, compute="pc95", metric="@d")
+    result.collect()
+    single = [line for line in result._jdf.queryExecution().executedPlan().toString().splitlines() if "SinglePartition" in line]
+    # Only counts by bin, or the states found from them, meet in one task.
+    assert single and all("_v" not in line for line in single)
+
+
 def test_no_operator_needs_a_cross_join(spark):
     rows = log_rows(spark, [("a", "x", '{"d":1}', None)])
     plan = stats.log_stats(rows, compute="pc95", metric="@d")._jdf.queryExecution().toString()
