@@ -1,4 +1,7 @@
-"""Joining a large relation to a lookup without shuffling the large side when that is safe."""
+"""Joining a large relation to a lookup without shuffling the large side when that is safe.
+
+:func:`bounded` decides by size when it is called; a bitmap of the lookup's keys is of one size and needs no job.
+"""
 
 from pyspark.sql import functions as F
 
@@ -41,3 +44,23 @@ def join_lookup(rows, lookup, keys, spread, max_rows=BROADCAST_ROWS):
     if checked is lookup:
         return salted_join(rows, lookup, keys, spread)
     return rows.join(checked, list(keys))
+
+
+# Bits of a key bitmap: one aggregate buffer of Spark's bitmap functions.
+BITMAP_BITS = 32_768
+
+
+def key_bitmap(lookup, *keys):
+    """A scalar of ``BITMAP_BITS`` bits, those of the hashes of the keys set, whatever the number of keys."""
+    return lookup.agg(F.bitmap_construct_agg(_position(keys)).alias("_bits")).scalar()
+
+
+def maybe_among(bitmap, *keys):
+    """Whether a row's keys may be among those of the bitmap: never false for one that is."""
+    at = _position(keys)
+    byte = F.conv(F.hex(F.substring(bitmap, (F.call_function("div", at, F.lit(8)) + 1).cast("int"), F.lit(1))), 16, 10)
+    return F.getbit(byte.cast("long"), (at % 8).cast("int")) == 1
+
+
+def _position(keys):
+    return F.pmod(F.xxhash64(*keys), F.lit(BITMAP_BITS))

@@ -2,13 +2,14 @@
 
 Page chains are cut without sorting or gathering a scan: whether a page ends its
 chain is a property of the page (or of a running total built from block sums), so
-the last page is a plain minimum per scan.
+the last page is a plain minimum per scan. Pages landed through ``plans.landing`` have the
+outcome as a column, and reading them joins nothing.
 """
 
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from telemere.operators.lookups import bounded
+from telemere.operators.lookups import key_bitmap, maybe_among
 from telemere.session import shared_dir
 from telemere.sources.alerts import ALERT_PAGE_SIZE, with_alert_page_header
 from telemere.sources.pages import with_page_header
@@ -20,24 +21,50 @@ TIME_BUCKETS = 4096
 RUN_ROWS = 1_000_000
 
 
-def _keep_through(pages, last, key):
-    joined = pages.join(bounded(last), key, "left")
-    kept = joined.where(F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
-    return kept.select(*pages.columns)
+def _with_live(pages, chains):
+    """Add ``live``: whether a page counts, given ``scan_id``, ``last_page`` and ``top_page`` of the chains.
 
+    Only scans with pages behind their last one need a look at it. A bitmap of those scans
+    clears all others, whose bodies stay where they are.
+    """
+    if "live" in pages.columns:
+        return pages
+    cut = chains.where("top_page > last_page").select("scan_id", "last_page")
+    doubtful = maybe_among(key_bitmap(cut, "scan_id"), "scan_id")
+    clear = pages.where(~doubtful).withColumn("live", F.lit(True))
+    joined = pages.where(doubtful).join(cut, "scan_id", "left").select(*pages.columns, "last_page")
+    checked = joined.withColumn("live", F.col("last_page").isNull() | (F.col("page_no") <= F.col("last_page")))
+    return clear.unionByName(checked.drop("last_page"))
 
-def assemble_cursor_pages(pages):
-    """Pages a cursor walk would fetch.
+
+def _last_pages(heads, ends):
+    last, top = F.min(F.when(ends, F.col("page_no"))), F.max("page_no")
+    return heads.groupBy("scan_id").agg(last.alias("last_page"), top.alias("top_page"))
+
+
+def _live_only(marked, columns):
+    return marked.where(F.coalesce("live", F.lit(True))).select(*columns)
+
+
+def with_cursor_chain(pages):
+    """Add ``live``: whether a cursor walk would fetch the page. Nothing is computed when the pages have it.
 
     The walk ends with the first page that has no next cursor, no events, or a
     next cursor equal to its own; that page still counts. A page that is not JSON
     says nothing about the walk, so the pages landed behind it still count.
     """
+    if "live" in pages.columns:
+        return pages
     after, cursor = F.col("after"), F.coalesce(F.col("cursor"), F.lit(""))
     sound = F.col("n_rows").isNotNull()
     ends = sound & (after.isNull() | (after == "") | (F.col("n_rows") == 0) | (after == cursor))
-    last = with_page_header(pages).where(ends).groupBy("scan_id").agg(F.min("page_no").alias("last_page"))
-    return _keep_through(pages, last, "scan_id")
+    heads = with_page_header(pages).select("scan_id", "page_no", "cursor", "after", "n_rows")
+    return _with_live(pages, _last_pages(heads, ends))
+
+
+def assemble_cursor_pages(pages):
+    """Pages a cursor walk would fetch; a plain filter on pages that were landed with their chain."""
+    return _live_only(with_cursor_chain(pages), pages.columns)
 
 
 def running_total(df, key, order, value):
@@ -57,12 +84,14 @@ def running_total(df, key, order, value):
     )
 
 
-def assemble_offset_pages(pages):
-    """Alert pages an offset walk would fetch.
+def with_offset_chain(pages):
+    """Add ``live``: whether an offset walk would fetch the alert page.
 
     It ends with an empty page, when the groups seen so far reach the page's
     ``total_count``, or, without a total, with a short page; that page still counts.
     """
+    if "live" in pages.columns:
+        return pages
     heads = with_alert_page_header(pages).select("scan_id", "page_no", "n_rows", "total_count")
     seen = running_total(heads, "scan_id", "page_no", "n_rows")
     ends = (
@@ -70,8 +99,12 @@ def assemble_offset_pages(pages):
         | (F.col("total_count").isNotNull() & (F.col("running_total") >= F.col("total_count")))
         | (F.col("total_count").isNull() & (F.col("n_rows") < ALERT_PAGE_SIZE))
     )
-    last = seen.where(ends).groupBy("scan_id").agg(F.min("page_no").alias("last_page"))
-    return _keep_through(pages, last, "scan_id")
+    return _with_live(pages, _last_pages(seen, ends))
+
+
+def assemble_offset_pages(pages):
+    """Alert pages an offset walk would fetch; a plain filter on pages that were landed with their chain."""
+    return _live_only(with_offset_chain(pages), pages.columns)
 
 
 def order_by_time(df, time="time_unix_nano", descending=False, tiebreak=()):

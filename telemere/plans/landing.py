@@ -2,12 +2,17 @@
 
 A landing folder holds one Parquet table of raw bodies per kind::
 
-    logs/                  scan_id, page_no, cursor, body [, index, dt, after, n_rows]
-    spans/                 scan_id, page_no, cursor, body [, dt, after, n_rows]
-    metrics/               query, start_s, end_s, body
-    alerts/                scan_id, page_no, body
+    logs/                  scan_id, page_no, cursor, body [, index, from_ms, to_ms, received_unix_nano]
+    spans/                 scan_id, page_no, cursor, body [, from_ms, to_ms, received_unix_nano]
+    metrics/               query, start_s, end_s, body [, scan_id, received_unix_nano]
+    alerts/                scan_id, page_no, body [, scope, received_unix_nano]
     service_dependencies/  environment, primary_tag, start_s, end_s, body
     indexes/               body
+
+Columns in brackets are optional. With ``received_unix_nano`` (and the searched window, where there is one),
+reads that overlap count once: see ``operators.coverage`` and ``plans.readers``. :func:`land_pages` and
+:func:`land_alert_pages` add ``after``, ``n_rows``, ``live``, ``first_nanos``, ``last_nanos`` and, as a
+partition, ``dt``, the day of a page's latest event.
 """
 
 from dataclasses import dataclass
@@ -15,7 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from telemere.functions.time import event_time
-from telemere.sources.pages import with_page_header
+from telemere.operators.paging import with_cursor_chain, with_offset_chain
+from telemere.sources.alerts import with_alert_page_header
+from telemere.sources.pages import with_page_header, with_page_times
 
 
 @dataclass(frozen=True)
@@ -29,8 +36,23 @@ class Landing:
 
 
 def land_pages(pages, path, partition_by=()):
-    """Write search pages with their paging header; executors write, nothing passes the driver."""
-    writer = with_page_header(pages).write.mode("append")
+    """Write search pages with their paging header, whether they count, and their times; nothing passes the driver.
+
+    A call lands whole scans. Only bodies of scans that go on behind their last page are shuffled for it.
+    """
+    headed = with_cursor_chain(with_page_times(with_page_header(pages)))
+    if "dt" in partition_by and "dt" not in headed.columns:
+        headed = headed.withColumn("dt", F.to_date(event_time(F.col("last_nanos"))))
+    _append(headed, path, partition_by)
+
+
+def land_alert_pages(pages, path, partition_by=()):
+    """Write alert pages with their paging header and whether they count; a call lands whole scans."""
+    _append(with_offset_chain(with_alert_page_header(pages)), path, partition_by)
+
+
+def _append(rows, path, partition_by):
+    writer = rows.write.mode("append")
     return (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 

@@ -1,6 +1,7 @@
 """Readers over landing folders, with the arguments and defaults of the search API.
 
-All return lazy DataFrames with fixed schemas. ``from_`` and ``to`` are resolved
+All return DataFrames with fixed schemas. Jobs run when a reader is called for two things only: a row
+cap finds its last key, and overlapping reads (see ``operators.coverage``) find the times they own. ``from_`` and ``to`` are resolved
 when the reader is called; pass ``now_ms`` or ``now`` to pin them. ``page_size``,
 ``retries``, ``timeout`` and ``secret`` belong to whatever lands the pages: they
 are checked here and change nothing else.
@@ -12,7 +13,8 @@ from pyspark.sql import functions as F
 
 from telemere import schemas
 from telemere.functions.window import metrics_window, search_window, service_map_window
-from telemere.operators import paging, search, stats
+from telemere.operators import correlate, coverage, paging, search, stats
+from telemere.operators.lookups import bounded, key_bitmap, maybe_among
 from telemere.plans.options import NotConfigured, Provider, check_limits
 from telemere.sources.aggregates import normalise_indexes
 from telemere.sources.alerts import normalise_alerts
@@ -22,20 +24,62 @@ from telemere.sources.metrics import normalise_metrics
 from telemere.sources.spans import normalise_spans
 
 
-def _search(pages, normalise, relation, window, tests, sort, max_rows, schema, on_malformed):
-    time = search.TIME_COLUMN[relation]
+def _inside(pages, window):
+    """Landed pages that may hold events of the window: by their own times, and by the day of their latest event."""
+    if "last_nanos" not in pages.columns:
+        return pages
+    untimed = F.col("last_nanos").isNull()
+    pages = pages.where(untimed | ((F.col("last_nanos") >= window.start_nanos) & (F.col("first_nanos") < window.end_nanos)))
     if "dt" in pages.columns:
-        # Whole scans are pruned by day; the event times decide below.
-        pages = pages.where(
-            F.col("dt").between(
-                F.to_date(F.timestamp_millis(F.lit(window.start))), F.to_date(F.timestamp_millis(F.lit(window.end)))
-            )
-        )
-    rows = normalise(paging.assemble_cursor_pages(pages), on_malformed=on_malformed)
-    matching = search.where_all(search.where_window(rows, window, time), tests)
-    newest_first = sort == "-timestamp"
-    capped = paging.cap_rows(matching, max_rows, time, newest_first)
-    return paging.order_by_time(capped, time, newest_first).select(*schema.fieldNames())
+        first_day = F.to_date(F.timestamp_millis(F.lit(window.start)))
+        pages = pages.where(F.col("dt").isNull() | (F.col("dt") >= first_day))
+    return pages
+
+
+def _with_pieces(reads, name, source):
+    """``reads`` that own some time, with ``_pieces``: each instant belongs to the newest read that covers it.
+
+    Reads are few and narrow next to what they hold; their times are worked out when this is called.
+    """
+    owned = coverage.owned_times(reads.select(name.alias("read"), "from", "to", F.col("received_unix_nano").alias("taken"), *source), source)
+    return reads.withColumn("_read", name).join(
+        bounded(owned.select(F.col("read").alias("_read"), F.col("pieces").alias("_pieces"))), "_read"
+    )
+
+
+def _covered(rows, time):
+    """Rows that belong to their read; times outside what it asked for count as its first or last instant."""
+    instant = F.call_function("div", F.col(time), F.lit(1_000_000))
+    clamped = F.greatest("_from", F.least(F.col("_to") - 1, instant))
+    return rows.where(coverage.is_owned(F.col("_pieces"), F.when(instant.isNotNull(), clamped)))
+
+
+_SCAN = ("from_ms", "to_ms", "received_unix_nano")
+
+
+def _search(pages, normalise, relation, window, tests, max_rows, schema, on_malformed, newest_first=False):
+    time = search.TIME_COLUMN[relation]
+    carry = ()
+    if set(_SCAN) <= set(pages.columns):
+        # The reads of all time matter, not only those with pages inside the window.
+        source = ["index"] if "index" in pages.columns else []
+        named = pages.withColumns({"from": F.col("from_ms"), "to": F.col("to_ms")})
+        pages = _with_pieces(named, F.col("scan_id"), source).withColumns({"_from": F.col("from"), "_to": F.col("to")})
+        carry = ("_from", "_to", "_pieces")
+    rows = normalise(paging.assemble_cursor_pages(_inside(pages, window)), carry, on_malformed=on_malformed)
+    rows = search.where_window(rows, window, time)
+    if carry:
+        rows = _covered(rows, time).drop(*carry)
+    matching = search.where_all(rows, tests)
+    return paging.cap_rows(matching, max_rows, time, newest_first).select(*schema.fieldNames())
+
+
+def _matching_logs(spark, landing, facets, attr_range, text, from_, to, indexes, now_ms, max_rows, on_malformed, newest_first=False):
+    """Matching log rows in no order: what aggregates read."""
+    window = search_window(from_, to, now_ms)
+    pages = search.where_index(landing.table(spark, "logs"), indexes)
+    tests = search.predicates(facets, attr_range, text, "logs")
+    return _search(pages, normalise_logs, "logs", window, tests, max_rows, schemas.LOGS, on_malformed, newest_first)
 
 
 def read_logs(
@@ -58,10 +102,9 @@ def read_logs(
 ):
     """Log rows of a window that match a structured search; all indexes unless some are named."""
     check_limits(sort, page_size, max_rows, retries, timeout)
-    window = search_window(from_, to, now_ms)
-    pages = search.where_index(landing.table(spark, "logs"), indexes)
-    tests = search.predicates(facets, attr_range, text, "logs")
-    return _search(pages, normalise_logs, "logs", window, tests, sort, max_rows, schemas.LOGS, on_malformed)
+    newest_first = sort == "-timestamp"
+    found = _matching_logs(spark, landing, facets, attr_range, text, from_, to, indexes, now_ms, max_rows, on_malformed, newest_first)
+    return paging.order_by_time(found, "time_unix_nano", newest_first)
 
 
 def read_spans(
@@ -85,10 +128,9 @@ def read_spans(
     check_limits(sort, page_size, max_rows, retries, timeout)
     window = search_window(from_, to, now_ms)
     tests = search.predicates(facets, attr_range, text, "spans")
-    pages = landing.table(spark, "spans")
-    return _search(
-        pages, normalise_spans, "spans", window, tests, sort, max_rows, schemas.SPANS, on_malformed
-    )
+    pages, newest_first = landing.table(spark, "spans"), sort == "-timestamp"
+    found = _search(pages, normalise_spans, "spans", window, tests, max_rows, schemas.SPANS, on_malformed, newest_first)
+    return paging.order_by_time(found, search.TIME_COLUMN["spans"], newest_first)
 
 
 def read_metrics(
@@ -105,7 +147,7 @@ def read_metrics(
     now=None,
     on_malformed="raise",
 ):
-    """Points of the landed responses to ``query`` inside a window."""
+    """Points of the landed responses to ``query`` inside a window, each instant from the newest response covering it."""
     check_limits(max_rows=max_rows, retries=retries, timeout=timeout)
     if not (query or "").strip():
         raise NotConfigured("metrics need a query, such as 'avg:system.cpu.user{*}'")
@@ -113,8 +155,16 @@ def read_metrics(
     responses = landing.table(spark, "metrics").where(
         (F.col("query") == query.strip()) & (F.col("end_s") >= window.start) & (F.col("start_s") <= window.end)
     )
-    points = normalise_metrics(responses, provider.name, provider.site, on_malformed=on_malformed)
+    carry = ()
+    if {"scan_id", "received_unix_nano"} <= set(responses.columns):
+        # Both ends of a response's range belong to it.
+        timed = responses.withColumns({"from": F.col("start_s") * 1000, "to": (F.col("end_s") + 1) * 1000})
+        responses = _with_pieces(timed, F.col("scan_id"), []).withColumns({"_from": F.col("from"), "_to": F.col("to")})
+        carry = ("_from", "_to", "_pieces")
+    points = normalise_metrics(responses, provider.name, provider.site, carry, on_malformed=on_malformed)
     inside = search.where_time(points, window.start_nanos, window.end_nanos + 1)
+    if carry:
+        inside = _covered(inside, "time_unix_nano").drop(*carry)
     return paging.cap_rows(inside, max_rows)
 
 
@@ -138,15 +188,29 @@ def read_log_stats(
 ):
     """Aggregated ``(by, value)`` rows over the matching logs; arguments are checked first."""
     options = stats.StatsOptions(compute, metric, group_by, group_limit, approx, retries, timeout)
-    rows = read_logs(spark, landing, facets, attr_range, text, from_, to, now_ms=now_ms)
+    rows = _matching_logs(spark, landing, facets, attr_range, text, from_, to, (), now_ms, 0, "raise")
     return stats.log_stats(rows, options)
 
 
 def read_open_alerts(spark, landing, retries=4, timeout=60, secret=None, on_malformed="raise"):
-    """Triggered monitor groups, one row each."""
+    """Monitor groups that are triggered now, one row each.
+
+    Where the landed scans say when they were received, the newest scan of each ``scope`` is the current
+    state, whatever older ones held; a group that several scopes list counts as its newest scan says.
+    """
     check_limits(retries=retries, timeout=timeout)
-    pages = paging.assemble_offset_pages(landing.table(spark, "alerts"))
-    return normalise_alerts(pages, on_malformed=on_malformed)
+    pages = landing.table(spark, "alerts")
+    if "received_unix_nano" not in pages.columns:
+        return normalise_alerts(paging.assemble_offset_pages(pages), on_malformed=on_malformed)
+    scope = ["scope"] if "scope" in pages.columns else []
+    newest = pages.groupBy(*scope).agg(F.max_by("scan_id", F.struct("received_unix_nano", "scan_id")).alias("scan_id"))
+    # A bitmap of the newest scans leaves the bodies of the others where they are.
+    current = pages.where(maybe_among(key_bitmap(newest, "scan_id"), "scan_id")).join(newest.select("scan_id"), "scan_id", "left_semi")
+    groups = normalise_alerts(
+        paging.assemble_offset_pages(current), ("received_unix_nano", "scan_id"), open_only=False, on_malformed=on_malformed
+    )
+    latest = correlate.latest_state(groups, "received_unix_nano", (F.desc("scan_id"),))
+    return latest.select(*schemas.ALERTS.fieldNames())
 
 
 def read_service_dependencies(

@@ -3,7 +3,8 @@
 ``scan_id`` names one paged read, ``page_no`` counts its pages from 0, ``cursor``
 is the cursor the page was asked for with, ``body`` the response text. Landing
 tables may add ``index`` and ``dt`` as partition columns, and ``after`` and
-``n_rows`` (see :func:`with_page_header`) so that paging never reads bodies.
+``n_rows`` (see :func:`with_page_header`) so that paging never reads bodies, and
+``first_nanos`` and ``last_nanos`` (see :func:`with_page_times`) so that windows skip pages.
 """
 
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from telemere.functions import json as J
 from telemere.functions import otel
+from telemere.functions.time import iso_to_nanos
 
 LANDING = T.StructType(
     [
@@ -80,3 +82,18 @@ def with_page_header(pages):
     return pages.select(
         "*", *[column.alias(name) for name, column in missing.items() if name not in pages.columns]
     )
+
+
+def with_page_times(pages):
+    """Add ``first_nanos`` and ``last_nanos``, the times of a page's earliest and latest event.
+
+    Both are NULL for a page without timed events or that is no JSON, which every window reads.
+    """
+    if "first_nanos" in pages.columns:
+        return pages
+    events = F.from_json("body", "data array<struct<attributes:struct<timestamp:string,start_timestamp:string>>>")
+    times = F.transform(
+        events["data"]["attributes"], lambda a: iso_to_nanos(F.coalesce(a["timestamp"], a["start_timestamp"]))
+    )
+    timed = pages.withColumn("_times", times)
+    return timed.select("*", F.array_min("_times").alias("first_nanos"), F.array_max("_times").alias("last_nanos")).drop("_times")
