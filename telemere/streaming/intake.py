@@ -1,11 +1,14 @@
 """Continuous log intake with Structured Streaming.
 
 Requests arrive as rows or whole-body files; sound ones become rows of the
-18-column table, refused ones rows of a rejects table. A request is judged before
-it is exploded and a micro-batch commits as a whole, so a request is stored
-completely or not at all, also when executors or the driver are lost.
+18-column table, refused ones rows of a rejects table. One streaming query reads and
+judges each request once. A micro-batch is staged below the checkpoint and its files are moved
+into the two tables under names that carry the batch's number; a batch that runs again after
+a failure first takes its files back. So a request is stored completely and once, also when
+executors or the driver are lost. Until a failed batch has run again, the tables may lack some of it.
 """
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import functions as F
@@ -80,52 +83,71 @@ def ensure_target(spark, path, create=True):
 _running = {}
 
 
-def start(spark, name, options, once=False):
-    """Start an intake, or return the running one when the options are the same.
+def _publish(rows, staging, table, prefix):
+    """Write ``rows`` and move their files into ``table``, in place of files that have the same prefix."""
+    spark = rows.sparkSession
+    rows.write.mode("overwrite").parquet(staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = path(staging), path(table)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(target)
+    for earlier in files.globStatus(path(f"{table}/{prefix}*")) or []:
+        files.delete(earlier.getPath(), False)
+    if spark.read.schema(rows.schema).parquet(staging).isEmpty():
+        return
+    parts = [f.getPath() for f in files.listStatus(source) if f.getPath().getName().startswith("part-")]
+    for number, part in enumerate(sorted(parts, key=lambda p: p.getName())):
+        if not files.rename(part, path(f"{table}/{prefix}{number:05d}.parquet")):
+            raise OSError(f"could not move {part} into {table}")
+
+
+def batch_writer(options):
+    """A function (batch, number) that stores a micro-batch of requests; storing it again changes nothing."""
+    # Intakes that share a table have checkpoints of their own.
+    intake_id = hashlib.sha256(options.checkpoint.encode()).hexdigest()[:12]
+
+    def store(requests, number):
+        staging, prefix = f"{options.checkpoint}/staging", f"intake-{intake_id}-{number:012d}-"
+        judged = intake.judged_logs(intake.assess(requests, options.api_key, options.max_body_bytes))
+        judged.write.mode("overwrite").parquet(f"{staging}/judged")
+        held = requests.sparkSession.read.schema(judged.schema).parquet(f"{staging}/judged")
+        accepted = held.where(F.col("code") == intake.ACCEPTED).select(*schemas.LOGS.fieldNames())
+        refused = held.where(F.col("code") != intake.ACCEPTED).select(*intake.REJECTS.fieldNames())
+        _publish(accepted, f"{staging}/logs", options.table, prefix)
+        _publish(refused, f"{staging}/rejects", options.rejects, prefix)
+
+    return store
+
 
-    ``once`` processes what is there and stops. Returns the accept and reject queries.
-    """
+def start(spark, name, options, once=False):
+    """Start an intake, or return the running query when the options are the same; ``once`` takes what is there and stops."""
     key = (spark.sparkContext.applicationId, name)
     current = _running.get(key)
-    if current and all(q.isActive for q in current[1]):
+    if current and current[1].isActive:
         if current[0] != options:
             raise ValueError(f"an intake named {name} already runs with different options")
         return current[1]
-    if current:
-        # One of the two has ended or failed: the pair starts again from its checkpoints.
-        for running in current[1]:
-            running.stop()
     ensure_target(spark, options.table, options.create_table)
-    assessed = intake.assess(request_stream(spark, options), options.api_key, options.max_body_bytes)
-
-    def write(df, path, part):
-        writer = (
-            df.writeStream.format("parquet")
-            .outputMode("append")
-            .queryName(f"{name}_{part}")
-            .option("checkpointLocation", f"{options.checkpoint}/{part}")
-        )
-        return (writer.trigger(availableNow=True) if once else writer).start(path)
-
-    queries = (
-        write(intake.accepted_logs(assessed), options.table, "logs"),
-        write(intake.rejected_requests(assessed), options.rejects, "rejects"),
+    writer = (
+        request_stream(spark, options)
+        .writeStream.foreachBatch(batch_writer(options))
+        .queryName(name)
+        .option("checkpointLocation", f"{options.checkpoint}/requests")
     )
-    _running[key] = (options, queries)
-    return queries
+    query = (writer.trigger(availableNow=True) if once else writer).start()
+    _running[key] = (options, query)
+    return query
 
 
 def stop(name):
     """Stop an intake: 'stopped', or 'not found'."""
     keys = [key for key in _running if key[1] == name]
     for key in keys:
-        for running in _running.pop(key)[1]:
-            running.stop()
+        _running.pop(key)[1].stop()
     return "stopped" if keys else "not found"
 
 
 def run_available(spark, name, options):
     """Take in everything that has arrived, then stop."""
-    for running in start(spark, name, options, once=True):
-        running.awaitTermination()
+    start(spark, name, options, once=True).awaitTermination()
     _running.pop((spark.sparkContext.applicationId, name), None)

@@ -150,12 +150,43 @@ def test_lifecycle(spark, tmp_path):
     assert stream.start(spark, "life", settings) == first
     with pytest.raises(ValueError, match="different options"):
         stream.start(spark, "life", options(tmp_path, api_key="k"))
-    first[0].processAllAvailable()
+    first.processAllAvailable()
     assert spark.read.parquet(settings.table).count() == 1
     assert stream.stop("life") == "stopped"
     assert stream.stop("life") == "not found"
 
 
+def test_a_replayed_batch_changes_nothing(spark, tmp_path):
+    sent = requests(spark, (JSON, body({"message": "a"}, {"message": "b"})), (JSON, "nonsense"), (JSON, "[]"))
+    settings = options(tmp_path)
+    store = stream.batch_writer(settings)
+
+    def held():
+        logs = spark.read.parquet(settings.table)
+        assert schemas.same_layout(logs.schema, schemas.LOGS)
+        return sorted(r.body for r in logs.collect()), [r.code for r in spark.read.parquet(settings.rejects).collect()]
+
+    stream.ensure_target(spark, settings.table)
+    store(sent, 0)
+    store(sent, 0)
+    assert held() == (["a", "b"], [400])
+    store(requests(spark, (JSON, body({"message": "c"}))), 1)
+    # The first batch runs once more with what it had before a failure cut it short.
+    (next((tmp_path / "table").glob("intake-*-000000000000-*.parquet"))).unlink()
+    assert held()[0] == ["c"]
+    store(sent, 0)
+    assert held() == (["a", "b", "c"], [400])
+
+
+def test_one_query_reads_each_request_once(spark, tmp_path):
+    requests(spark, (JSON, body({"message": "a"})), (JSON, "nonsense")).coalesce(1).write.parquet(f"{tmp_path}/in")
+    query = stream.start(spark, "single", options(tmp_path))
+    query.processAllAvailable()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 2
+    assert len([q for q in spark.streams.active if q.id == query.id]) == 1
+    assert stream.stop("single") == "stopped"
+
+
 def test_target_must_have_the_log_layout(spark, tmp_path):
     spark.range(1).write.parquet(f"{tmp_path}/other")
     with pytest.raises(ValueError, match="18 log columns"):

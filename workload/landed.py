@@ -11,6 +11,7 @@ from telemere.sources.alerts import normalise_alerts
 from telemere.sources.logs import normalise_logs
 from workload import fixtures as fx
 from workload import relations_sql as R
+from workload.pipelines import _run_intake
 from workload.queries import ORACLES, _alert_text, query, with_logs, with_spans
 
 DAY_MS = 86_400_000
@@ -174,3 +175,17 @@ def _(spark, sf):
     land_alert_pages(pages, f"{path}/alerts")
     found = readers.read_open_alerts(spark, Landing(path))
     return found.select("monitor_id", "monitor_name", "group_name", "status")
+
+
+@query(
+    "stream_both_tables",
+    f"""WITH {R.INTAKE}, refused AS ({R.REJECTS})
+        SELECT 'log' AS kind, body AS what, CAST(NULL AS INTEGER) AS code FROM intake
+        UNION ALL SELECT 'reject', request_id, code FROM refused""",
+)
+def _(spark, sf):
+    """Accepted logs and refused requests of one run of one streaming query."""
+    requests = fx.intake_requests(spark, sf)
+    logs, refused = _run_intake(spark, requests, api_key=fx.API_KEY, max_body_bytes=fx.MAX_BODY_BYTES)
+    kept = logs.select(F.lit("log").alias("kind"), F.col("body").alias("what"), F.lit(None).cast("int").alias("code"))
+    return kept.unionByName(refused.select(F.lit("reject").alias("kind"), F.col("request_id").alias("what"), "code"))
