@@ -245,9 +245,13 @@ outcomes AS (
 
 
 def _defective_spans(spark, sf):
+    return _defective(spans(spark, sf))
+
+
+def _defective(rows):
     number = "cast(conv(span_id, 16, 10) as bigint)"
     order = f"{number} div 8"
-    return spans(spark, sf).selectExpr(
+    return rows.selectExpr(
         f"""case when {number} % 11 = 0 then null when ({order}) % 3 = 0 then concat('00ab', substr(trace_id, 5))
             else trace_id end as trace_id""",
         f"if({number} % 13 = 0, 'xyz', span_id) as span_id",
