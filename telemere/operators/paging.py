@@ -16,6 +16,8 @@ from telemere.sources.pages import with_page_header
 
 # Pages summed as one block in running totals.
 BLOCK_PAGES = 1024
+# Rows of a cap that an ordered limit may keep in each task.
+HEAP_ROWS = 1000
 # Buckets of time that are counted to find the last row of a cap, and keys that one task may sort to find it.
 TIME_BUCKETS = 4096
 RUN_ROWS = 1_000_000
@@ -117,44 +119,65 @@ def cap_rows(df, max_rows, time="time_unix_nano", descending=False, tiebreak=())
 
     Rows without a time come last. Rows of one time are taken in the order of the
     ``tiebreak`` columns and then of a hash of the whole row, so the same table gives
-    the same rows for every cap and on every read. The cap becomes a filter: the
-    key of the last row is found from counts and a narrow copy of the keys near
-    it, and no task or heap holds the capped rows. Finding it runs jobs.
+    the same rows for every cap and on every read. Up to ``HEAP_ROWS`` rows are an ordered limit. A larger
+    cap becomes a filter on time, which scans can push down, and, for rows of the very last
+    time only, on the tie-break: that time is found from counts and a narrow copy of
+    the times near it, and no task or heap holds the capped rows. Finding it runs jobs.
     """
     if max_rows < 0:
-        raise ValueError("max_rows must be >= 0 (0 means unlimited)")
+        raise ValueError("max_rows must not be negative; 0 means no cap")
     if max_rows == 0:
         return df
+    ties = [*map(F.col, tiebreak), F.xxhash64(F.to_json(F.struct(*df.columns)))]
+    if max_rows <= HEAP_ROWS:
+        return df.orderBy(F.desc_nulls_last(time) if descending else F.asc_nulls_last(time), *ties).limit(max_rows)
     position = F.col(time) * (-1 if descending else 1)
-    parts = [position.isNull(), position, *map(F.col, tiebreak), F.xxhash64(F.to_json(F.struct(*df.columns)))]
-    found = _last_key(df.select(*[p.alias(f"k{i}") for i, p in enumerate(parts)]), max_rows)
+    found = _last_key(_keys(df, [position.isNull(), position]), max_rows, "k1")
     if found is None:
         return df
-    last, wanted, there = found
-    key, edge = (F.struct(*[v.alias(f"k{i}") for i, v in enumerate(values)]) for values in (parts, last))
+    (_, last), wanted, there = found
+    if last is None:
+        before, at, through = F.col(time).isNotNull(), F.col(time).isNull(), F.lit(True)
+    else:
+        edge = F.lit(-last if descending else last)
+        at = F.col(time) == edge
+        before, through = (F.col(time) > edge, F.col(time) >= edge) if descending else (F.col(time) < edge, F.col(time) <= edge)
+    near = df.where(through)
+    if wanted == there:
+        return near
+    keys = _keys(df.where(at), ties)
+    values, wanted, there = _last_key(keys, wanted)
+    last = F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(keys.dtypes, values, strict=True)])
+    key = F.struct(*[tie.alias(f"k{i}") for i, tie in enumerate(ties)])
     if wanted == there:
-        return df.where(key <= edge)
+        return near.where(before | (at & (key <= last)))
     # The cap falls between rows that are equal in every column: any of them will do.
-    return df.where(key < edge).unionByName(df.where(key == edge).limit(wanted))
+    return near.where(before | (at & (key < last))).unionByName(df.where(at).where(key == last).limit(wanted))
 
 
-def _last_key(keys, max_rows):
-    """The ``max_rows``-th key as literals, how many rows with it are wanted, and how many there are; or None."""
-    low, high, total = keys.agg(F.min("k1"), F.max("k1"), F.count(F.lit(1))).first()
-    if total <= max_rows:
-        return None
-    if low is None:
-        inside, before = keys, 0
-    else:
-        width = (high - low) // TIME_BUCKETS + 1
-        bucket = F.call_function("div", F.col("k1") - low, F.lit(width))
-        counts = keys.groupBy(bucket.alias("bucket")).count().collect()
-        before = 0
-        for number, count in sorted(counts, key=lambda row: (row[0] is None, row[0] or 0)):
-            if before + count >= max_rows:
-                break
-            before += count
-        inside = keys.where(bucket.eqNullSafe(F.lit(number)))
+def _keys(df, columns):
+    return df.select(*[c.alias(f"k{i}") for i, c in enumerate(columns)])
+
+
+def _last_key(keys, max_rows, measure=None):
+    """The values of the ``max_rows``-th key, how many rows with it are wanted, and how many there are; or None.
+
+    The whole numbers of the column ``measure``, which leads the order, narrow down where it lies.
+    """
+    inside, before = keys, 0
+    if measure:
+        low, high, total = keys.agg(F.min(measure), F.max(measure), F.count(F.lit(1))).first()
+        if total <= max_rows:
+            return None
+        if low is not None:
+            width = (high - low) // TIME_BUCKETS + 1
+            bucket = F.call_function("div", F.col(measure) - low, F.lit(width))
+            counts = keys.groupBy(bucket.alias("bucket")).count().collect()
+            for number, count in sorted(counts, key=lambda row: (row[0] is None, row[0] or 0)):
+                if before + count >= max_rows:
+                    break
+                before += count
+            inside = keys.where(bucket.eqNullSafe(F.lit(number)))
     wanted = max_rows - before
     names = keys.columns
     while True:
@@ -176,8 +199,7 @@ def _last_key(keys, max_rows):
     edge = F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(inside.dtypes, values, strict=True)])
     key = F.struct(*names)
     less, there = runs.agg(F.count_if(key < edge), F.count_if(key == edge)).first()
-    wanted -= less
-    return [F.lit(v).cast(t) for (_, t), v in zip(keys.dtypes, values, strict=True)], wanted, there
+    return list(values), wanted - less, there
 
 
 def _stored(df):

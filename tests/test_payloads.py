@@ -153,14 +153,36 @@ def test_traces_with_equal_low_bits_stay_apart(spark):
     assert sum(b.n_rows for b in batch) == 2
 
 
-def test_a_dominant_trace_is_cut_into_bounded_parts(spark):
+def test_a_large_trace_is_one_array_and_counts_once(spark):
     rows = spark.range(5000).select(
-        F.when(F.col("id") < 3000, F.lit("1")).otherwise(F.hex("id")).alias("trace_id"),
+        F.when(F.col("id") < 2500, F.lit("1")).otherwise(F.hex("id")).alias("trace_id"),
         F.hex("id").alias("span_id"),
+        (10_000 - F.col("id")).alias("start_time_unix_nano"),
+    )
+    groups = trace_groups(agent_spans(rows)).collect()
+    assert len(groups) == 2501 and max(g.n_spans for g in groups) == 2500
+    large = next(g for g in groups if g.n_spans == 2500)
+    starts = [span["start"] for span in json.loads(large.body)]
+    assert starts == sorted(starts) and large.start == starts[0]
+    assert sum(b.n_rows for b in trace_batches(rows).collect()) == 2501
+
+
+def test_an_array_beyond_the_bound_goes_on_in_parts(spark):
+    rows = spark.range(900).select(
+        F.when(F.col("id") < 700, F.lit("1")).otherwise(F.hex(F.col("id") % 7 + 16)).alias("trace_id"),
+        F.hex(F.col("id") + 1).alias("span_id"),
         F.col("id").alias("start_time_unix_nano"),
     )
-    groups = trace_groups(agent_spans(rows), max_spans=100).cache()
-    assert groups.agg(F.max("n_spans")).first()[0] <= 100
-    assert groups.agg(F.sum("n_spans")).first()[0] == 5000
-    ids = groups.select(F.explode(F.from_json("body", "array<struct<span_id:long>>")).alias("s")).select("s.span_id")
-    assert ids.distinct().count() == 5000
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        groups = trace_groups(agent_spans(rows), max_bytes=5000).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    first = [g for g in groups if g.part == 0]
+    assert len({(g.trace_id_high, g.trace_id) for g in groups}) == len(first) == 8
+    large = sorted((g for g in groups if g.trace_id == 1), key=lambda g: g.part)
+    assert [g.part for g in large] == list(range(len(large))) and len(large) > 10
+    spans = [span["span_id"] for g in large for span in json.loads(g.body)]
+    assert spans == list(range(1, 701)) and all(len(g.body) <= 5100 for g in large)
+    assert sum(g.n_spans for g in groups) == 900
+
