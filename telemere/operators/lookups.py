@@ -64,3 +64,44 @@ def maybe_among(bitmap, *keys):
 
 def _position(keys):
     return F.pmod(F.xxhash64(*keys), F.lit(BITMAP_BITS))
+
+
+# A key is hot with more than one row in ``HOT_SHARE``; a hot key gets a share for each 1 / ``SHARES`` of all rows.
+HOT_SHARE, SHARES = 1000, 200
+# Items that the sketch of frequent keys tracks; its counts are off by at most about total / TRACKED.
+TRACKED = 16_384
+
+
+def hot_keys(rows, key):
+    """A scalar: the hot values of ``key`` with the shares their counts ask for, fewer than ``HOT_SHARE`` of them.
+
+    They come from a sketch of frequent items of fixed size, in one pass without a shuffle by key.
+    """
+    top = F.call_function("approx_top_k", key, F.lit(HOT_SHARE), F.lit(TRACKED))
+    sketch = rows.agg(top.alias("_top"), F.count(key).alias("_total"))
+    hot = F.filter("_top", lambda t: t["count"] * HOT_SHARE > F.col("_total"))
+    sized = F.transform(
+        hot, lambda t: F.struct(t["item"].alias("key"), F.ceil(t["count"] * SHARES / F.col("_total")).cast("int").alias("shares"))
+    )
+    return sketch.select(sized.alias("_hot"))
+
+
+def spread_join(rows, lookup, keys, spread, how):
+    """Join many rows to at most one lookup row per key, the rows of hot keys over as many tasks as their number asks.
+
+    ``spread`` are columns of ``rows`` whose hash picks a row's share. Every row meets one copy of its
+    lookup row, so any ``how`` that keeps or drops rows of ``rows`` does.
+    """
+    name = F.concat_ws("\x00", *[F.col(k).cast("string") for k in keys])
+    hot = hot_keys(rows.select(name.alias("_key")), "_key")
+    listed = hot.select(F.map_from_entries("_hot")).scalar()
+    bits = key_bitmap(hot.select(F.explode("_hot.key").alias("_key")), "_key")
+
+    def shares(df):
+        found = F.try_element_at(listed, F.col("_key"))
+        named = df.withColumn("_key", name)
+        return named.withColumn("_shares", F.when(maybe_among(bits, "_key"), F.coalesce(found, F.lit(1))).otherwise(F.lit(1)))
+
+    dealt = shares(rows).withColumn("_share", F.pmod(F.xxhash64(*spread), F.col("_shares")).cast("int"))
+    copies = shares(lookup).withColumn("_share", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)))
+    return dealt.drop("_key", "_shares").join(copies.drop("_key", "_shares"), [*keys, "_share"], how).drop("_share")

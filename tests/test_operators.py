@@ -301,3 +301,38 @@ def test_redelivered_spans_count_once(spark):
     assert (edge.request_count, edge.error_count) == (1, 1)
     logs = spark.createDataFrame([("t", "b", "hello")], "trace_id string, span_id string, body string")
     assert correlate.with_span(logs, spans).count() == 1
+
+
+def test_a_trace_with_a_third_of_the_logs_is_in_no_single_task(spark):
+    hot = F.col("id") % 3 == 0
+    ids = spark.range(30_000).select("id", F.when(hot, F.lit("hot")).otherwise(F.hex("id")).alias("trace_id"))
+    logs = ids.select(
+        F.col("id").alias("time_unix_nano"), F.lit(0).alias("observed_time_unix_nano"), "trace_id",
+        F.hex("id").alias("span_id"), F.concat(F.lit("m"), "id").alias("body"),
+    )
+    spans = spark.range(9000).select(
+        F.when(F.col("id") % 9 == 0, F.lit("hot")).otherwise(F.hex("id")).alias("trace_id"), F.hex("id").alias("span_id"),
+        F.lit("s").alias("service_name"), F.lit("n").alias("name"), F.lit(0).alias("status_code"),
+        F.col("id").alias("start_time_unix_nano"), F.lit(1).alias("duration_time_unix_nano"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "64",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = correlate.with_trace(logs, spans).where("trace_id = 'hot'")
+        by_task = joined.groupBy(F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"), F.max("span_count").alias("spans"))
+        tasks = by_task.collect()
+        semi, anti = (f(logs, spans).count() for f in (correlate.logs_with_spans, correlate.logs_without_spans))
+        named = correlate.with_span(logs, spans).where("span_name is not null").count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(t.n for t in tasks) == 10_000 and max(t.n for t in tasks) < 1200 and len(tasks) > 20
+    assert {t.spans for t in tasks} == {1000}
+    assert semi + anti == 30_000 and semi == 10_000 + sum(i % 3 != 0 and i % 9 != 0 for i in range(9000))
+    # A span answers for a log of its own trace and id.
+    assert named == sum((i % 3 == 0) == (i % 9 == 0) for i in range(9000))
