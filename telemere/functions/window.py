@@ -45,10 +45,10 @@ def _relative(text, units, minimum, name):
     """Seconds of a '-15m' style offset."""
     match = re.fullmatch(r"-([0-9]+)([a-z])", text)
     if not match or match[2] not in units:
-        raise WindowError(f"{name}: invalid relative value '{text}', use -N followed by one of {''.join(units)}")
+        raise WindowError(f"{name}={text!r} is no offset; write a minus, a number and one of {' '.join(units)}")
     seconds = int(match[1]) * UNIT_SECONDS[match[2]]
     if int(match[1]) < minimum or seconds > _INT64_MAX:
-        raise WindowError(f"{name}: relative value '{text}' is out of range")
+        raise WindowError(f"{name}={text!r} lies outside what can be counted in seconds")
     return seconds
 
 
@@ -60,12 +60,12 @@ def _service_map_endpoint(value, now, name):
     if bare.startswith("-"):
         resolved = now - _relative(bare, "smhdw", 1, name)
         if resolved < _INT64_MIN:
-            raise WindowError(f"{name}: relative value '{text}' is out of range")
+            raise WindowError(f"{name}={text!r} lies outside what can be counted in seconds")
         return resolved
     if not re.fullmatch(r"[0-9]+", text):
-        raise WindowError(f"{name}: expected epoch seconds, 'now', or a past relative value such as '-1h'")
+        raise WindowError(f"{name}={text!r} is neither a second since 1970, nor now, nor an offset back from it")
     if int(text) > _INT64_MAX:
-        raise WindowError(f"{name}: epoch seconds are out of range")
+        raise WindowError(f"{name}={text!r} is too large for a second since 1970")
     return int(text)
 
 
@@ -77,9 +77,9 @@ def service_map_window(start, end, now=None):
     now = int(_time.time()) if now is None else now
     low, high = _service_map_endpoint(start, now, "from"), _service_map_endpoint(end, now, "to")
     if low > high:
-        raise WindowError("from must not be later than to")
+        raise WindowError("the window ends before it starts")
     if not (_MIN_SECONDS <= low <= _MAX_SECONDS and _MIN_SECONDS <= high <= _MAX_SECONDS):
-        raise WindowError("window is outside the range of nanosecond timestamps")
+        raise WindowError("nanoseconds cannot express this window")
     return Window(low, high, "s")
 
 
@@ -92,7 +92,7 @@ def _metric_endpoint(value, now, name):
         return now - _relative(bare, "smhd", 0, name)
     if re.fullmatch(r"\+?[0-9]+", bare) and int(bare) <= _INT64_MAX:
         return int(bare)
-    raise WindowError(f"invalid {name} '{value}'")
+    raise WindowError(f"cannot read {name}={value!r} as a time")
 
 
 def metrics_window(start, end, now=None):
@@ -103,7 +103,7 @@ def metrics_window(start, end, now=None):
     now = int(_time.time()) if now is None else now
     low, high = _metric_endpoint(start, now, "from"), _metric_endpoint(end, now, "to")
     if low > high:
-        raise WindowError("from must not be later than to")
+        raise WindowError("the window ends before it starts")
     return Window(low, high, "s")
 
 
@@ -115,7 +115,7 @@ def _search_endpoint(value, now_ms, name):
         try:
             moment = datetime.fromisoformat(text)
         except ValueError as error:
-            raise WindowError(f"{name}: invalid ISO time '{value}'") from error
+            raise WindowError(f"cannot read {name}={value!r} as an ISO time") from error
         if moment.tzinfo is None:
             moment = moment.replace(tzinfo=timezone.utc)
         delta = moment - datetime(1970, 1, 1, tzinfo=timezone.utc)

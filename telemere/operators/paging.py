@@ -125,7 +125,7 @@ def cap_rows(df, max_rows, time="time_unix_nano", descending=False, tiebreak=())
     the times near it, and no task or heap holds the capped rows. Finding it runs jobs.
     """
     if max_rows < 0:
-        raise ValueError("max_rows must not be negative; 0 means no cap")
+        raise ValueError("max_rows is negative; give 0 for no cap")
     if max_rows == 0:
         return df
     ties = [*map(F.col, tiebreak), F.xxhash64(F.to_json(F.struct(*df.columns)))]

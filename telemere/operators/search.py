@@ -47,7 +47,7 @@ SORTS = ("timestamp", "-timestamp")
 def facet(name, relation="logs"):
     """Text of a facet: a column, ``@attribute`` path, ``host``, or else a resource tag."""
     if not name:
-        raise ValueError("facets must be non-empty strings")
+        raise ValueError("a facet needs a name")
     if name.startswith("@"):
         path = name[1:]
         nested = F.get_json_object(ATTRIBUTES[relation], f"$.{path}")
@@ -143,7 +143,7 @@ def where_index(df, indexes):
 def sorted_by(df, sort="timestamp", time="time_unix_nano", tiebreak=()):
     """Rows in search order: ``timestamp`` ascending or ``-timestamp`` descending."""
     if sort not in SORTS:
-        raise ValueError("sort must be either 'timestamp' or '-timestamp'")
+        raise ValueError(f"cannot sort by {sort!r}; known orders: {', '.join(SORTS)}")
     order = F.desc_nulls_last(time) if sort == "-timestamp" else F.asc_nulls_last(time)
     return df.orderBy(order, *tiebreak)
 

@@ -32,21 +32,19 @@ class StatsOptions:
         object.__setattr__(self, "compute", (self.compute or "").lower())
         object.__setattr__(self, "group_by", tuple(self.group_by or ()))
         if not self.compute:
-            raise ValueError(f"compute must be one of {', '.join(COMPUTES)}")
+            raise ValueError(f"no compute given; there are {', '.join(COMPUTES)}")
         if self.compute != "count" and not self.metric:
-            raise ValueError(
-                f"compute '{self.compute}' requires metric (a facet such as '@duration_ns' or '@trace_id')"
-            )
+            raise ValueError(f"{self.compute} of what? Name a facet in metric")
         if self.compute not in COMPUTES:
-            raise ValueError(f"unknown compute '{self.compute}', use one of {', '.join(COMPUTES)}")
+            raise ValueError(f"there is no compute {self.compute!r}; there are {', '.join(COMPUTES)}")
         if any(not isinstance(f, str) or not f for f in self.group_by):
-            raise ValueError("group_by facets must be non-empty strings")
+            raise ValueError("group_by holds something that is no facet name")
         if not 1 <= self.group_limit <= MAX_GROUP_LIMIT:
-            raise ValueError(f"group_limit must be between 1 and {MAX_GROUP_LIMIT}")
+            raise ValueError(f"group_limit is {self.group_limit}; buckets per facet go from 1 to {MAX_GROUP_LIMIT}")
         if self.retries < 0:
-            raise ValueError("retries must be >= 0 (0 disables retrying)")
+            raise ValueError("retries is negative; give 0 to try once")
         if self.timeout < 1:
-            raise ValueError("timeout must be >= 1 (seconds)")
+            raise ValueError("timeout is below one second")
 
 
 def log_stats(logs, options=None, relation="logs", **arguments):

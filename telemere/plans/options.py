@@ -16,15 +16,15 @@ class NotConfigured(ValueError):
 def check_limits(sort="timestamp", page_size=1000, max_rows=0, retries=4, timeout=60):
     """Limits shared by all readers."""
     if sort not in SORTS:
-        raise OptionError("sort must be either 'timestamp' or '-timestamp'")
+        raise OptionError(f"cannot sort by {sort!r}; known orders: {', '.join(SORTS)}")
     if not 1 <= page_size <= 1000:
-        raise OptionError("page_size must be between 1 and 1000")
+        raise OptionError(f"page_size is {page_size}; a page has 1 to 1000 rows")
     if max_rows < 0:
-        raise OptionError("max_rows must be >= 0 (0 means unlimited)")
+        raise OptionError("max_rows is negative; give 0 to read everything")
     if retries < 0:
-        raise OptionError("retries must be >= 0 (0 disables retrying)")
+        raise OptionError("retries is negative; give 0 to try once")
     if timeout < 1:
-        raise OptionError("timeout must be >= 1 (seconds)")
+        raise OptionError("timeout is below one second")
 
 
 @dataclass(frozen=True)

@@ -49,10 +49,10 @@ def _documents(content_type, body):
 def _document_problem(entry):
     doc, elements = entry["doc"], J.array_at(entry["doc"], "$")
     return (
-        F.when(doc.isNull(), F.lit("body is not valid JSON"))
-        .when(F.size(elements) > MAX_ARRAY_LOGS, F.lit(f"an array may hold at most {MAX_ARRAY_LOGS} logs"))
-        .when(F.exists(elements, lambda e: ~J.is_object(e)), F.lit("each log must be a JSON object"))
-        .when(elements.isNull() & ~J.is_object(doc), F.lit("body must be a JSON object or array"))
+        F.when(doc.isNull(), F.lit("the body cannot be read as JSON"))
+        .when(F.size(elements) > MAX_ARRAY_LOGS, F.lit(f"the body has an array of more than {MAX_ARRAY_LOGS} logs"))
+        .when(F.exists(elements, lambda e: ~J.is_object(e)), F.lit("the body has an entry that is no object"))
+        .when(elements.isNull() & ~J.is_object(doc), F.lit("the body is neither an object nor an array"))
     )
 
 
@@ -84,9 +84,9 @@ def assess(requests, api_key="", max_body_bytes=MAX_BODY_BYTES):
         F.filter(F.transform("documents", _document_problem), lambda p: p.isNotNull()), F.lit(0)
     )
     reason = (
-        F.when(F.col("too_large"), F.lit("payload too large"))
-        .when(F.col("forbidden"), F.lit("forbidden"))
-        .when(F.col("body").isNull(), F.lit("body is not valid JSON"))
+        F.when(F.col("too_large"), F.lit("the body is over the size limit"))
+        .when(F.col("forbidden"), F.lit("the key does not match"))
+        .when(F.col("body").isNull(), F.lit("the body cannot be read as JSON"))
         .otherwise(problem)
     )
     code = (

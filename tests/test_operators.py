@@ -159,15 +159,15 @@ def test_approximate_stats(spark, compute):
 @pytest.mark.parametrize(
     "arguments, message",
     [
-        ({"compute": "cardinality"}, "requires metric"),
-        ({"compute": ""}, "compute must be"),
-        ({"compute": "median", "metric": "@d"}, "unknown compute"),
-        ({"group_limit": 0}, "between 1 and 10000"),
-        ({"group_limit": 10_001}, "between 1 and 10000"),
-        ({"group_by": [""]}, "non-empty"),
-        ({"group_by": [None]}, "non-empty"),
-        ({"retries": -1}, "retries must be >= 0"),
-        ({"timeout": 0}, "timeout must be >= 1"),
+        ({"compute": "cardinality"}, "Name a facet"),
+        ({"compute": ""}, "no compute given"),
+        ({"compute": "median", "metric": "@d"}, "there is no compute"),
+        ({"group_limit": 0}, "from 1 to 10000"),
+        ({"group_limit": 10_001}, "from 1 to 10000"),
+        ({"group_by": [""]}, "no facet name"),
+        ({"group_by": [None]}, "no facet name"),
+        ({"retries": -1}, "retries is negative"),
+        ({"timeout": 0}, "timeout is below"),
     ],
 )
 def test_stats_arguments_are_checked(arguments, message):

@@ -196,7 +196,7 @@ intake AS (
 REJECTS = """
   SELECT lpad(CAST(request AS VARCHAR), 8, '0') AS request_id,
     CAST(CASE kind WHEN 8 THEN 403 WHEN 13 THEN 413 ELSE 400 END AS INTEGER) AS code,
-    CASE kind WHEN 4 THEN 'body is not valid JSON' WHEN 5 THEN 'body must be a JSON object or array'
-      WHEN 6 THEN 'each log must be a JSON object' WHEN 8 THEN 'forbidden'
-      WHEN 12 THEN 'an array may hold at most 1000 logs' ELSE 'payload too large' END AS reason
+    CASE kind WHEN 4 THEN 'the body cannot be read as JSON' WHEN 5 THEN 'the body is neither an object nor an array'
+      WHEN 6 THEN 'the body has an entry that is no object' WHEN 8 THEN 'the key does not match'
+      WHEN 12 THEN 'the body has an array of more than 1000 logs' ELSE 'the body is over the size limit' END AS reason
   FROM requests WHERE kind IN (4, 5, 6, 8, 12, 13)"""
