@@ -121,6 +121,19 @@ def text_map(text):
     return F.from_json(_object_like(text), "map<string,string>", STRICT)
 
 
+def first_of_repeated(entries):
+    """A parsed map (see :func:`typed_map`) with the first value of each key that the text repeats."""
+
+    def once(held):
+        keys = F.map_keys(held)
+        unique = F.array_distinct(keys)
+        firsts = F.map_from_arrays(unique, F.transform(unique, lambda k: F.element_at(held, k)))
+        return F.when(F.size(unique) < F.size(keys), firsts).otherwise(held)
+
+    # Bound by a lambda, so that the text is parsed once.
+    return F.get(F.transform(F.array(entries), once), F.lit(0))
+
+
 def _object_like(text):
     return F.when(text.rlike(r"(?s)^\s*\{.*\}\s*$"), text)
 

@@ -69,8 +69,8 @@ def intake_json(prepared):
     """JSON object of every prepared log, as (``item``, ``n_bytes``).
 
     Own fields come first, then host and tags mined from the resource, then the
-    whole resource, then attributes whose keys are still free. Attribute text
-    that is not a JSON object is ignored.
+    whole resource, then attributes whose keys are still free, the first value of a key
+    that is repeated. Attribute text that is not a JSON object is ignored.
     """
     own = F.to_json(F.struct(*[F.col(name) for name in KEY_ORDER]))
     resource = J.parse(F.col("resource_attributes"))
@@ -87,7 +87,7 @@ def intake_json(prepared):
         F.when(resource.isNotNull(), F.get_json_object("resource_attributes", "$")).alias("_resource"),
     )
     prepared = prepared.withColumn("_taken", _taken_keys(mined)).withColumn(
-        "_typed", J.typed_map(F.col("log_attributes"))
+        "_typed", J.first_of_repeated(J.typed_map(F.col("log_attributes")))
     )
     free = F.map_filter("_typed", lambda k, _: ~F.array_contains("_taken", k))
     item = J.object_of(

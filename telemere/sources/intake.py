@@ -119,7 +119,7 @@ def _message(doc, text):
 
 
 def _log_attributes(text):
-    kept = F.map_filter(J.typed_map(text), lambda k, _: ~k.isin(*RESERVED_KEYS))
+    kept = F.map_filter(J.first_of_repeated(J.typed_map(text)), lambda k, _: ~k.isin(*RESERVED_KEYS))
     return F.nullif(F.to_json(kept), F.lit("{}"))
 
 

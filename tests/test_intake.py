@@ -122,6 +122,11 @@ def test_timestamps(spark, stamp, nanos):
     assert row.time_unix_nano == nanos
 
 
+def test_the_first_of_repeated_attributes_counts(spark):
+    sent = '[{"message":"m","a":1,"b":{"c":1},"a":2,"b":3}]'
+    assert intake.normalise_intake(requests(spark, (JSON, sent))).first().log_attributes == '{"a":1,"b":{"c":1}}'
+
+
 def options(root, **extra):
     return stream.IntakeOptions(
         source=f"{root}/in", table=f"{root}/table", rejects=f"{root}/rejects", checkpoint=f"{root}/cp", **extra

@@ -186,3 +186,11 @@ def test_an_array_beyond_the_bound_goes_on_in_parts(spark):
     assert spans == list(range(1, 701)) and all(len(g.body) <= 5100 for g in large)
     assert sum(g.n_spans for g in groups) == 900
 
+
+
+def test_repeated_attributes_are_sent_once(spark):
+    from telemere.sinks.logs import intake_fields, intake_json
+
+    df = spark.createDataFrame([("m", '{"a":1,"z":true,"a":2}')], "body string, log_attributes string")
+    item = intake_json(intake_fields(df)).first().item
+    assert item.count('"a"') == 1 and json.loads(item)["a"] == 1 and json.loads(item)["z"] is True

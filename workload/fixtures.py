@@ -113,7 +113,7 @@ def land(spark, sf, path):
         "body",
     ).write.parquet(f"{path}/metrics")
     alert_pages(spark, sf).write.parquet(f"{path}/alerts")
-    dependency_responses(spark, sf).selectExpr(
+    dependency_responses(spark, sf, 200).selectExpr(
         "'prod' as environment",
         "cast(null as string) as primary_tag",
         "1704067200L as start_s",
@@ -287,17 +287,23 @@ def alert_history(spark, sf):
     )
 
 
-def dependency_responses(spark, sf):
-    """One dependency object per region: each nation calls its suppliers, the first one twice."""
+def dependency_responses(spark, sf, per_body=None):
+    """Dependency objects: each nation calls its suppliers, the first one of a body twice.
+
+    One for each region or, with ``per_body``, also for each so many supplier keys, so that bodies do not grow.
+    """
     suppliers = table(spark, sf, "supplier")
     nations = table(spark, sf, "nation")
+    part = F.call_function("div", "s_suppkey", F.lit(per_body)) if per_body else F.lit(0).cast("long")
     calls = (
         suppliers.join(nations, suppliers["s_nationkey"] == nations["n_nationkey"])
-        .groupBy("n_regionkey", "n_name")
+        .withColumn("part", part)
+        .groupBy("n_regionkey", "part", "n_name")
         .agg(F.array_sort(F.collect_list(F.concat(F.lit('"'), "s_name", F.lit('"')))).alias("calls"))
     )
     entries = calls.select(
         "n_regionkey",
+        "part",
         F.concat(
             F.lit('"'),
             "n_name",
@@ -306,9 +312,9 @@ def dependency_responses(spark, sf):
             F.lit('],"note":1}'),
         ).alias("entry"),
     )
-    return entries.groupBy(F.col("n_regionkey").cast("string").alias("scan_id")).agg(
+    return entries.groupBy(F.col("n_regionkey").cast("string").alias("scan_id"), "part").agg(
         F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list("entry")), ","), F.lit("}")).alias("body")
-    )
+    ).drop("part")
 
 
 def aggregate_responses(spark, sf):

@@ -50,7 +50,7 @@ def metric_points(spark, sf):
 
 
 def api_edges(spark, sf):
-    return dependencies.normalise_dependencies(fx.dependency_responses(spark, sf), PROVIDER, "prod", MONTH)
+    return dependencies.normalise_dependencies(fx.dependency_responses(spark, sf, 200), PROVIDER, "prod", MONTH)
 
 
 # --- sources -------------------------------------------------------------------------------------
