@@ -173,41 +173,47 @@ def _fit_many(cells, total, powers, share, rounds, tolerance):
     return fitted, off
 
 
-def weigh(docs, powers=POWERS, share=SHARE):
-    """``docs`` with four more columns: its cell's labels as a struct, tokens, rate and whether it stays.
-
-    Returns the frame and the names of those columns.
-    """
-    cells = kept(cells_of(docs), "cells")
+def _rated(named, cells, key, rate, powers, share):
+    """``named``, whose column ``key`` is the struct of a row's labels, with the ``rate`` of its cell."""
+    cells = kept(cells, "cells")
     total = cells.agg(F.sum("docs")).first()[0] or 0
     rated = fit(cells, powers, share)
-    key, size, rate, stays = (fresh(n) for n in ("cell", "docs", "rate", "stays"))
+    size = fresh("docs")
     groups = rated.select(F.struct(*MARGINS).alias(key), F.col("docs").alias(size), F.col("rate").alias(rate))
-    named = docs.withColumn(key, F.struct(*[e.alias(m) for m, e in labels(docs).items()]))
     if rated.limit(CELLS_SENT + 1).count() <= CELLS_SENT:
         joined = named.join(F.broadcast(groups), key, "left")
     else:
         joined = join_groups(named, groups, key, size, total, CELLS_SENT)
-    tokens = fresh("tokens")
-    out = joined.withColumn(tokens, n_tokens(F.col("text"))).withColumn(
-        stays, draw(F.col("doc_id"), F.col("text")) < F.col(rate)
-    )
-    return out.drop(size), (key, tokens, rate, stays)
+    return joined.drop(size)
 
 
 def mix(docs, powers=POWERS, share=SHARE):
-    """One row per document: doc_id, source, lang, topic, n_tokens, rate, kept."""
-    out, (key, tokens, rate, stays) = weigh(docs, powers, share)
-    return out.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        *[F.col(f"{key}.{m}").alias(m) for m in MARGINS],
-        F.col(tokens).alias("n_tokens"),
-        F.round(rate, 6).alias("rate"),
-        F.col(stays).alias("kept"),
+    """One row per document: doc_id, source, lang, topic, n_tokens, rate, kept.
+
+    Texts are read once: labels, tokens and draws go to a narrow table, which is counted and answered from.
+    """
+    text = F.col("text")
+    named = kept(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.struct(*[e.alias(m) for m, e in labels(docs).items()]).alias("cell"),
+            n_tokens(text).alias("n_tokens"),
+            draw(F.col("doc_id"), text).alias("draw"),
+        ),
+        "marked",
+    )
+    cells = named.groupBy(*[F.col(f"cell.{m}").alias(m) for m in MARGINS]).agg(
+        F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")
+    )
+    return _rated(named, cells, "cell", "rate", powers, share).select(
+        "doc_id", "cell.*", "n_tokens", F.round("rate", 6).alias("rate"), (F.col("draw") < F.col("rate")).alias("kept")
     )
 
 
 def sample(docs, powers=POWERS, share=SHARE):
-    """The rows that stay, all their columns unchanged."""
-    out, (_, _, _, stays) = weigh(docs, powers, share)
-    return out.filter(F.col(stays)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows that stay, all their columns unchanged. Texts are labelled twice: a narrow table could only be joined by a shuffle of them."""
+    key, rate = fresh("cell"), fresh("rate")
+    named = docs.withColumn(key, F.struct(*[e.alias(m) for m, e in labels(docs).items()]))
+    out = _rated(named, cells_of(docs), key, rate, powers, share)
+    stays = draw(F.col("doc_id"), F.col("text")) < F.col(rate)
+    return out.filter(stays).select(*[F.col(f"`{c}`") for c in docs.columns])
