@@ -1,7 +1,10 @@
 """Reading tables, keeping intermediate tables and joining without hot keys."""
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from telemere.llm import bloom
@@ -69,7 +72,22 @@ def drop_ids(docs, ids):
 BATCH_BYTES = "4m"
 
 
+def released(batches):
+    """``batches``, after which a Python worker gives back to the machine what its task took and freed.
+
+    Workers outlive stages, so what one stage leaves would count against the next.
+    """
+    try:
+        yield from batches
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def map_arrow(df, function, schema):
-    """``mapInArrow`` with batches bounded in bytes."""
+    """``mapInArrow`` with batches bounded in bytes, whose workers release their memory at a task's end."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(lambda batches: released(function(batches)), schema)
