@@ -1,7 +1,8 @@
 """Readers over landing folders, with the arguments and defaults of the search API.
 
-All return DataFrames with fixed schemas. Jobs run when a reader is called for two things only: a row
-cap finds its last key, and overlapping reads (see ``operators.coverage``) find the times they own. ``from_`` and ``to`` are resolved
+All return DataFrames with fixed schemas. Jobs run when a reader is called for three things only: a row
+cap finds its last key, overlapping reads (see ``operators.coverage``) find the times they own, and an index
+(see ``plans.file_index``) finds the files that may hold a facet's value or a text. ``from_`` and ``to`` are resolved
 when the reader is called; pass ``now_ms`` or ``now`` to pin them. ``page_size``,
 ``retries``, ``timeout`` and ``secret`` belong to whatever lands the pages: they
 are checked here and change nothing else.
@@ -15,6 +16,7 @@ from telemere import schemas
 from telemere.functions.window import metrics_window, search_window, service_map_window
 from telemere.operators import correlate, coverage, paging, search, stats
 from telemere.operators.lookups import bounded, key_bitmap, maybe_among
+from telemere.plans import file_index
 from telemere.plans.options import NotConfigured, Provider, check_limits
 from telemere.sources.aggregates import normalise_indexes
 from telemere.sources.alerts import normalise_alerts
@@ -36,13 +38,14 @@ def _inside(pages, window):
     return pages
 
 
-def _with_pieces(reads, name, source):
+def _with_pieces(reads, name, source, bodies=None):
     """``reads`` that own some time, with ``_pieces``: each instant belongs to the newest read that covers it.
 
     Reads are few and narrow next to what they hold; their times are worked out when this is called.
+    ``bodies`` are the rows to go on with, where some of the reads' rows hold nothing that is wanted.
     """
     owned = coverage.owned_times(reads.select(name.alias("read"), "from", "to", F.col("received_unix_nano").alias("taken"), *source), source)
-    return reads.withColumn("_read", name).join(
+    return (reads if bodies is None else bodies).withColumn("_read", name).join(
         bounded(owned.select(F.col("read").alias("_read"), F.col("pieces").alias("_pieces"))), "_read"
     )
 
@@ -57,15 +60,20 @@ def _covered(rows, time):
 _SCAN = ("from_ms", "to_ms", "received_unix_nano")
 
 
-def _search(pages, normalise, relation, window, tests, max_rows, schema, on_malformed, newest_first=False):
+def _search(pages, normalise, relation, window, tests, max_rows, schema, on_malformed, newest_first=False, only=None):
+    """Matching rows of ``pages``; ``only`` are those of them that may hold matches, if fewer."""
     time = search.TIME_COLUMN[relation]
     carry = ()
     if set(_SCAN) <= set(pages.columns):
         # The reads of all time matter, not only those with pages inside the window.
         source = ["index"] if "index" in pages.columns else []
-        named = pages.withColumns({"from": F.col("from_ms"), "to": F.col("to_ms")})
-        pages = _with_pieces(named, F.col("scan_id"), source).withColumns({"_from": F.col("from"), "_to": F.col("to")})
+        bounds = {"from": F.col("from_ms"), "to": F.col("to_ms")}
+        bodies = None if only is None else only.withColumns(bounds)
+        pages = _with_pieces(pages.withColumns(bounds), F.col("scan_id"), source, bodies)
+        pages = pages.withColumns({"_from": F.col("from"), "_to": F.col("to")})
         carry = ("_from", "_to", "_pieces")
+    elif only is not None:
+        pages = only
     rows = normalise(paging.assemble_cursor_pages(_inside(pages, window)), carry, on_malformed=on_malformed)
     rows = search.where_window(rows, window, time)
     if carry:
@@ -74,12 +82,19 @@ def _search(pages, normalise, relation, window, tests, max_rows, schema, on_malf
     return paging.cap_rows(matching, max_rows, time, newest_first).select(*schema.fieldNames())
 
 
+def _indexed(spark, landing, kind, pages, facets, text):
+    """The pages an index leaves to be read; it is asked only where chains were cut when pages landed."""
+    return file_index.candidates(spark, landing, kind, facets, text) if "live" in pages.columns else None
+
+
 def _matching_logs(spark, landing, facets, attr_range, text, from_, to, indexes, now_ms, max_rows, on_malformed, newest_first=False):
     """Matching log rows in no order: what aggregates read."""
     window = search_window(from_, to, now_ms)
     pages = search.where_index(landing.table(spark, "logs"), indexes)
     tests = search.predicates(facets, attr_range, text, "logs")
-    return _search(pages, normalise_logs, "logs", window, tests, max_rows, schemas.LOGS, on_malformed, newest_first)
+    only = _indexed(spark, landing, "logs", pages, facets, text)
+    only = None if only is None else search.where_index(only, indexes)
+    return _search(pages, normalise_logs, "logs", window, tests, max_rows, schemas.LOGS, on_malformed, newest_first, only)
 
 
 def read_logs(
@@ -129,7 +144,8 @@ def read_spans(
     window = search_window(from_, to, now_ms)
     tests = search.predicates(facets, attr_range, text, "spans")
     pages, newest_first = landing.table(spark, "spans"), sort == "-timestamp"
-    found = _search(pages, normalise_spans, "spans", window, tests, max_rows, schemas.SPANS, on_malformed, newest_first)
+    only = _indexed(spark, landing, "spans", pages, facets, text)
+    found = _search(pages, normalise_spans, "spans", window, tests, max_rows, schemas.SPANS, on_malformed, newest_first, only)
     return paging.order_by_time(found, search.TIME_COLUMN["spans"], newest_first)
 
 

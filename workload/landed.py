@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from telemere.operators import paging
-from telemere.plans import readers
+from telemere.plans import file_index, readers
 from telemere.plans.landing import Landing, land_alert_pages, land_pages
 from telemere.plans.options import Provider
 from telemere.session import shared_dir
@@ -189,3 +189,26 @@ def _(spark, sf):
     logs, refused = _run_intake(spark, requests, api_key=fx.API_KEY, max_body_bytes=fx.MAX_BODY_BYTES)
     kept = logs.select(F.lit("log").alias("kind"), F.col("body").alias("what"), F.lit(None).cast("int").alias("code"))
     return kept.unionByName(refused.select(F.lit("reject").alias("kind"), F.col("request_id").alias("what"), "code"))
+
+
+@query(
+    "search_through_index",
+    with_logs(
+        """SELECT 'text' AS kind, time_unix_nano, body FROM logs WHERE contains(body, 'purchase event 77')
+           UNION ALL SELECT 'trace', time_unix_nano, body FROM logs
+             WHERE trace_id = format('{:032x}', 1998) AND contains(body, 'event')
+           UNION ALL SELECT 'service', time_unix_nano, body FROM logs WHERE service_name = 'svc-3' AND contains(body, 'view')"""
+    ),
+)
+def _(spark, sf):
+    """Free text, a trace and a service, each read from the files that the index names for it."""
+    landing = Landing(shared_dir(spark, "landing"))
+    land_pages(fx.log_pages(spark, sf).repartitionByRange(8, "scan_id", "page_no"), f"{landing.path}/logs")
+    file_index.index_landed(spark, landing, "logs")
+
+    def found(kind, facets, text):
+        rows = readers.read_logs(spark, landing, facets, text=text, from_="2020-01-01T00:00:00Z", to="2030-01-01T00:00:00Z")
+        return rows.select(F.lit(kind).alias("kind"), "time_unix_nano", "body")
+
+    traced = found("trace", {"trace_id": f"{1998:032x}"}, "event")
+    return found("text", None, "purchase event 77").unionByName(traced).unionByName(found("service", {"service": "svc-3"}, "view"))
