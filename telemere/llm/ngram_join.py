@@ -348,10 +348,10 @@ def _links(given, docs):
 
 
 def _links_in_crowds(crowds, docs):
-    """All links between members of a crowd that are in different components.
+    """Links enough to join every two linked members of a crowd that are in different components.
 
     A crowd is cut into shares of about ``SHARE_TOKENS`` tokens by a hash of the node, and each
-    two shares meet in a block; blocks give the links they find, not the pairs they compare.
+    two shares meet in a block; blocks give one link for each two components they join, not the pairs they compare.
     """
     sizes = crowds.groupBy("first").agg(F.ceil(F.sum("n") / F.lit(SHARE_TOKENS)).cast("int").alias("shares"))
     own = F.pmod(F.xxhash64("node"), F.col("shares")).cast("int")
@@ -371,7 +371,10 @@ def _links_in_crowds(crowds, docs):
 
 
 def _block_links(pdf):
-    """The linked pairs of a block that are in different components, and in its two shares if it has two."""
+    """Linked pairs that join the components of a block as far as all of its pairs do, fewer than its members.
+
+    A block of two shares compares the members of one with those of the other. Components that a link has joined are one from then on.
+    """
     # Rows that share a node are one; their texts are compared each.
     sets = list(shingle_sets(pa.array(pdf["text"])))
     n = len(sets)
@@ -386,6 +389,7 @@ def _block_links(pdf):
     starts = ends - np.bincount(token, minlength=len(times))
     begin = np.searchsorted(owner, np.arange(n + 1))
     node, part, share = (pdf[c].to_numpy() for c in ("node", "component", "share"))
+    part = part.copy()
     two = bool(pdf["low"].iloc[0] != pdf["high"].iloc[0])
     a, b = [], []
     for i in range(n):
@@ -394,11 +398,13 @@ def _block_links(pdf):
         at = np.repeat(starts[own] - (np.cumsum(length) - length), length) + np.arange(length.sum())
         same = np.bincount(holders[at], minlength=n)
         hit = 100 * same >= PERCENT * (size[i] + size - same)
-        hit &= (part != part[i]) & (node > node[i])
+        hit &= part != part[i]
         if two:
             hit &= share != share[i]
-        b += node[hit].tolist()
-        a += [int(node[i])] * int(hit.sum())
+        met, first = np.unique(part[hit], return_index=True)
+        b += node[hit][first].tolist()
+        a += [int(node[i])] * len(met)
+        part[np.isin(part, met)] = part[i]
     return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 

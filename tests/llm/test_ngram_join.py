@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -65,6 +66,23 @@ def test_equals_brute_force(spark, monkeypatch, share):
     assert run(docs) == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
+@pytest.mark.parametrize("shares", [1, 2])
+def test_a_block_gives_fewer_links_than_members(shares):
+    """A dense crowd links all with all; one link for each component joined says as much."""
+    rng = random.Random(5)
+    crowd = words(rng, 200).split()
+    texts = [" ".join([*crowd, f"own{i}"]) for i in range(60)] + [words(rng, 40), words(rng, 40)]
+    pdf = pd.DataFrame({"node": np.arange(62), "component": np.arange(62), "share": np.arange(62) % shares, "text": texts})
+    pdf["component"] = pdf["component"].where(pdf["node"] > 2, 0)
+    found = ngram_join._block_links(pdf.assign(low=0, high=shares - 1))
+    assert len(found) == 57  # 58 components of the crowd become one
+    joined = {0, 1, 2}
+    rows = list(zip(found["a"], found["b"], strict=True))
+    while any((a in joined) != (b in joined) for a, b in rows):
+        joined |= {x for a, b in rows if a in joined or b in joined for x in (a, b)}
+    assert joined == set(range(60))
+
+
 def test_empty_table(spark):
     assert plain(ngram_join.near_duplicates(empty(spark))) == []
 
