@@ -336,3 +336,14 @@ def test_a_trace_with_a_third_of_the_logs_is_in_no_single_task(spark):
     assert semi + anti == 30_000 and semi == 10_000 + sum(i % 3 != 0 and i % 9 != 0 for i in range(9000))
     # A span answers for a log of its own trace and id.
     assert named == sum((i % 3 == 0) == (i % 9 == 0) for i in range(9000))
+
+
+def test_a_spread_join_never_broadcasts_its_lookup(spark):
+    """The size guessed for the lookup may be far too small; the driver must not hold it."""
+    logs = spark.range(50).selectExpr("cast(id as string) as trace_id", "id as time_unix_nano")
+    spans = spark.range(20, 30).selectExpr("cast(id as string) as trace_id")
+    for relation in (correlate.logs_with_spans, correlate.logs_without_spans):
+        joined = relation(logs, spans)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+        assert joined.count() == (10 if relation is correlate.logs_with_spans else 40)
