@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 from telemere import schemas
 from telemere.operators import correlate, groups, lookups, paging, search, stats
 from telemere.operators.stats import StatsOptions
+from telemere.plans import readers
 
 
 def test_cursor_chain_ends(spark):
@@ -347,3 +350,36 @@ def test_a_spread_join_never_broadcasts_its_lookup(spark):
         plan = joined._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
         assert joined.count() == (10 if relation is correlate.logs_with_spans else 40)
+
+
+def test_correlations_read_their_relations_no_more_often_than_needed(spark, tmp_path):
+    """JSON is taken apart by each read: spans are read once."""
+    spark.range(40).selectExpr("cast(id as string) trace_id", "id time_unix_nano", "cast(id as string) span_id").write.parquet(f"{tmp_path}/logs")
+    rows = [("t", "p", None, "a"), ("t", "c", "p", "b"), ("t", "c", "p", "b"), ("t", None, "p", "b"), ("t", None, "p", "b"), (None, "x", "p", "b")]
+    spans = spark.createDataFrame(rows, "trace_id string, span_id string, parent_span_id string, service_name string")
+    spans.selectExpr(
+        "*", "'n' as name", "0 as status_code", "7L as start_time_unix_nano", "1L as duration_time_unix_nano"
+    ).write.parquet(f"{tmp_path}/spans")
+    logs, spans = spark.read.parquet(f"{tmp_path}/logs"), spark.read.parquet(f"{tmp_path}/spans")
+    edges = correlate.edges_from_spans(spans, "acme", "prod")
+    assert [(r.source_service, r.target_service, r.request_count) for r in edges.collect()] == [("a", "b", 3)]
+    assert correlate.one_per_span(spans, "service_name").count() == 5
+
+    edges.collect()
+    final = edges._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet[^\n]*service_name", final)) == 1
+    named = correlate.with_span(logs, spans)
+    planned = named._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet[^\n]*service_name", planned)) == 1
+    assert named.count() == 40
+
+
+def test_time_of_an_overlapping_read_is_not_read_for_each_piece(spark):
+    rows = spark.range(1).selectExpr(
+        """'{"t":5000000}' as doc""", "0L as _from", "9L as _to", "array(named_struct('from', 1L, 'to', 4L), named_struct('from', 4L, 'to', 9L)) as _pieces"
+    )
+    timed = rows.repartition(1).withColumn("t", F.get_json_object("doc", "$.t").cast("long"))
+    kept = readers._covered(timed, "t")
+    filters = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.count() == 1 and "exists(" in filters
+    assert "get_json_object" not in filters.split("exists(")[1].split("\n")[0]
