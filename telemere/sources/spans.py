@@ -6,7 +6,7 @@ from telemere import schemas
 from telemere.functions import json as J
 from telemere.functions.otel import kind_to_int
 from telemere.functions.time import iso_to_nanos
-from telemere.sources.pages import explode_events
+from telemere.sources.pages import explode_attributes
 
 # Per-span fields kept in span_attributes, in this order.
 RESERVED_SPAN_FIELDS = ("resource_name", "type", "single_span", "ingestion_reason", "retained_by")
@@ -15,84 +15,105 @@ KIND_TAG = "(?:^|\x00)span[.]kind:([^\x00]*)"
 _JOINT = "\x00"
 
 
-def _span_kind(doc):
-    own = J.string_at(doc, "$.attributes.custom.span.kind")
+# Fields of an event's attributes that span columns are made of.
+FIELDS = (
+    "start_timestamp",
+    "end_timestamp",
+    "trace_id",
+    "span_id",
+    "parent_id",
+    "service",
+    "operation_name",
+    "status",
+    "error",
+    "host",
+    "env",
+    "tags",
+    "custom",
+    *RESERVED_SPAN_FIELDS,
+)
+
+
+def _span_kind(custom, tags):
+    own = J.string_at(custom, "$.span.kind")
     # One regular expression over the joined tags stays in generated code; a lambda would not.
-    tags = F.array_join(F.try_variant_get(doc, "$.attributes.tags", "array<string>"), _JOINT)
-    kind = kind_to_int(F.coalesce(own, F.regexp_extract(tags, KIND_TAG, 1)))
+    joined = F.array_join(F.try_variant_get(tags, "$", "array<string>"), _JOINT)
+    kind = kind_to_int(F.coalesce(own, F.regexp_extract(joined, KIND_TAG, 1)))
     return F.nullif(kind, F.lit(0))
 
 
-def _error_flag(doc, path):
+def _error_flag(error):
     """What an ``error`` field says; NULL when it leaves the question open."""
-    name = J.kind(doc, path)
+    name = J.kind_of(error)
     said = (
-        F.when(name == "BOOLEAN", F.try_variant_get(doc, path, "boolean"))
+        F.when(name == "BOOLEAN", F.try_variant_get(error, "$", "boolean"))
         .when(name.startswith("OBJECT"), F.nullif(name != "OBJECT<>", F.lit(False)))
-        .when(J.is_number_kind(name), F.try_variant_get(doc, path, "double") != 0)
+        .when(J.is_number_kind(name), F.try_variant_get(error, "$", "double") != 0)
     )
     # Most spans have no such field, which is cheaper to see than to name its type.
-    return F.when(J.node(doc, path).isNotNull(), said)
+    return F.when(error.isNotNull(), said)
 
 
-def _status_code(doc):
-    status = J.string_at(doc, "$.attributes.status")
+def _status_code(of):
+    status = J.as_string(of["status"])
     failed = F.when(status.isNotNull(), F.lower(status) == "error").otherwise(
         F.coalesce(
-            _error_flag(doc, "$.attributes.error"),
-            _error_flag(doc, "$.attributes.custom.error"),
+            _error_flag(of["error"]),
+            _error_flag(J.node(of["custom"], "$.error")),
             F.lit(False),
         )
     )
-    return F.when(J.node(doc, "$.attributes").isNotNull(), F.when(failed, 2).otherwise(0))
+    return F.when(of.isNotNull(), F.when(failed, 2).otherwise(0))
 
 
-def _span_attributes(doc, text):
+def _span_attributes(of, custom_text):
     """Custom attributes as they are, then the reserved fields custom does not have itself."""
-    custom = J.object_text(doc, text, "$.attributes.custom")
+    custom = F.when(J.is_object(of["custom"]), custom_text)
     added = []
     for name in RESERVED_SPAN_FIELDS:
-        value = J.node(doc, f"$.attributes.{name}")
-        free = J.node(doc, f"$.attributes.custom.{name}").isNull() & (J.kind_of(value) != "VOID")
-        added += [F.lit(name), F.when(free, value)]
+        free = J.node(of["custom"], f"$.{name}").isNull() & (J.kind_of(of[name]) != "VOID")
+        added += [F.lit(name), F.when(free, of[name])]
     merged = J.object_of(J.members(custom), J.members(F.to_json(F.named_struct(*added))))
     return F.nullif(merged, F.lit("{}"))
 
 
-def span_columns(doc, text):
-    """Expressions of the span columns an event has data for, by name."""
-    start = iso_to_nanos(J.string_at(doc, "$.attributes.start_timestamp"))
-    end = iso_to_nanos(J.string_at(doc, "$.attributes.end_timestamp"))
-    measured = J.number_at(doc, "$.attributes.custom.duration").try_cast("long")
+def span_columns(of, custom_text):
+    """Expressions of the span columns an event has data for, by name.
+
+    ``of`` holds the ``FIELDS`` of the event's attributes, ``custom_text`` is the source text of ``custom``.
+    """
+    start = iso_to_nanos(J.as_string(of["start_timestamp"]))
+    end = iso_to_nanos(J.as_string(of["end_timestamp"]))
+    measured = J.number_at(of["custom"], "$.duration").try_cast("long")
     return {
         "start_time_unix_nano": start,
         "duration_time_unix_nano": F.coalesce(end - start, measured),
-        "trace_id": J.string_at(doc, "$.attributes.trace_id"),
-        "span_id": J.string_at(doc, "$.attributes.span_id"),
-        "parent_span_id": J.string_at(doc, "$.attributes.parent_id"),
-        "service_name": J.string_at(doc, "$.attributes.service"),
+        "trace_id": J.as_string(of["trace_id"]),
+        "span_id": J.as_string(of["span_id"]),
+        "parent_span_id": J.as_string(of["parent_id"]),
+        "service_name": J.as_string(of["service"]),
         "name": F.coalesce(
-            J.string_at(doc, "$.attributes.custom.operation_name"),
-            J.string_at(doc, "$.attributes.operation_name"),
-            J.string_at(doc, "$.attributes.resource_name"),
+            J.string_at(of["custom"], "$.operation_name"),
+            J.as_string(of["operation_name"]),
+            J.as_string(of["resource_name"]),
         ),
-        "kind": _span_kind(doc),
-        "status_code": _status_code(doc),
+        "kind": _span_kind(of["custom"], of["tags"]),
+        "status_code": _status_code(of),
         "status_status_message": F.coalesce(
-            J.string_at(doc, "$.attributes.error.message"),
-            J.string_at(doc, "$.attributes.custom.error.message"),
+            J.string_at(of["error"], "$.message"),
+            J.string_at(of["custom"], "$.error.message"),
         ),
         "resource_attributes": J.ordered_object(
-            ("host", J.string_at(doc, "$.attributes.host")),
-            ("env", J.string_at(doc, "$.attributes.env")),
-            ("ddtags", J.non_empty_array_at(doc, "$.attributes.tags")),
+            ("host", J.as_string(of["host"])),
+            ("env", J.as_string(of["env"])),
+            ("ddtags", J.non_empty_array_at(of["tags"], "$")),
         ),
-        "span_attributes": _span_attributes(doc, text),
+        "span_attributes": _span_attributes(of, custom_text),
     }
 
 
 def normalise_spans(pages, carry=(), on_malformed="raise"):
     """Span rows of landing pages: a pure projection over one explode, no shuffle."""
-    events = explode_events(pages, carry, on_malformed)
-    columns = span_columns(F.col("event.doc"), F.col("event.text"))
+    events = explode_attributes(pages, FIELDS, "custom", carry, on_malformed)
+    columns = span_columns(F.col("event.of"), F.col("event.text.custom"))
     return events.select(*carry, *schemas.project(schemas.SPANS, columns))
