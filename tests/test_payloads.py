@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from telemere.sinks import packing
 from telemere.sinks.logs import intake_fields, intake_json, log_batches
 from telemere.sinks.packing import batch_ends, pack
 from telemere.sinks.spans import agent_spans, trace_batches, trace_groups
@@ -194,3 +195,34 @@ def test_repeated_attributes_are_sent_once(spark):
     df = spark.createDataFrame([("m", '{"a":1,"z":true,"a":2}')], "body string, log_attributes string")
     item = intake_json(intake_fields(df)).first().item
     assert item.count('"a"') == 1 and json.loads(item)["a"] == 1 and json.loads(item)["z"] is True
+
+
+def test_batches_of_long_items_are_joined_in_slices(spark, monkeypatch):
+    """A batch handed over is joined a slice at a time, and the bodies are those of one pass."""
+    rows = [(f'"{n:03d}{"x" * (n % 7 * 40)}"', n % 7 * 40 + 5) for n in range(300)]
+    items = spark.createDataFrame(rows, "item string, n_bytes long").coalesce(1)
+
+    def whole(size):
+        monkeypatch.setattr(packing, "SLICE_BYTES", size)
+        return [(r.body, r.n_rows, r.n_bytes) for r in packing.pack(items, 40, 2000).collect()]
+
+    assert whole(500) == whole(1 << 30)
+
+
+def test_entries_of_repeated_and_null_keys(spark):
+    """The first of a repeated key counts, nulls claim no key of a later source, and text stays as it was sent."""
+    span = '{"a":1,"a":"two","n":null,"o":{"z":1,"b":[1,"2"]},"t":true,"s":"5"}'
+    df = spark.createDataFrame(
+        [("1", "2", 5, span, '{"a":3,"n":4.5,"s":6,"e":""}'), ("1", "2", 5, "[1]", "{bad")],
+        "trace_id string, span_id string, start long, span_attributes string, resource_attributes string",
+    )
+    first, second = agent_spans(df).select("meta", "metrics").collect()
+    assert first.meta == {"o": '{"z":1,"b":[1,"2"]}', "t": "true", "s": "5", "e": ""}
+    assert first.metrics == {"a": 1.0, "n": 4.5}
+    assert second.meta == {} and second.metrics == {}
+
+
+def test_filter_by_outcome_stays_above_the_ids(spark):
+    df = spark.createDataFrame([("ab", "2", 5)], "trace_id string, span_id string, start long")
+    plan = agent_spans(df).where("outcome = 'ok'")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Generate inline")
