@@ -6,8 +6,9 @@ at each position of a chunk; the encoder goes from left to right with longest ma
 takes a shorter one where two neighbouring tokens could not stand side by side in a
 merged text, and steps back where none fits. Each position is left at most once for
 good, so the work is linear in the chunk. Results equal those of merging by rank.
-Ids of chunks, and of whole pieces between spaces, that came lately are kept in tables of
-at most ``2 * KEPT_CHUNKS`` entries.
+Ids of chunks, and of whole pieces between spaces, that came lately are kept in two tables of
+at most ``2 * KEPT_CHUNKS`` entries and about ``2 * KEPT_BYTES`` bytes each. Workers keep them from
+task to task, so these bounds are what a worker holds on any table, however many words it has.
 
 Decoding joins the tokens' bytes, found by an offset table over one array of bytes.
 
@@ -33,7 +34,12 @@ from pyspark.sql import functions as F
 
 from telemere.llm.tables import map_arrow
 
-KEPT_CHUNKS = 250_000
+#: Entries and bytes of one half of a table of recent chunks, what an entry takes beside its characters and ids,
+#: and of how many pairs of tokens it is kept whether they can stand side by side.
+KEPT_CHUNKS = 100_000
+KEPT_BYTES = 20 << 20
+ENTRY_BYTES = 130
+KEPT_PAIRS = 1 << 17
 LONGEST_KEPT = 64
 
 # White space of the Unicode standard, and the cut of a text into chunks (fixed values of the byte-level vocabulary).
@@ -93,7 +99,7 @@ class Recent:
     """A table of what was used lately: when the new half is full it becomes the old half."""
 
     def __init__(self):
-        self.new, self.old = {}, {}
+        self.new, self.old, self.size = {}, {}, 0
 
     def older(self, key):
         """The value of a key that the new half lacks, or None."""
@@ -103,9 +109,10 @@ class Recent:
         return value
 
     def put(self, key, value):
-        if len(self.new) >= KEPT_CHUNKS:
-            self.new, self.old = {}, self.new
+        if len(self.new) >= KEPT_CHUNKS or self.size >= KEPT_BYTES:
+            self.new, self.old, self.size = {}, self.new, 0
         self.new[key] = value
+        self.size += ENTRY_BYTES + 4 * len(key) + len(value)
 
 
 class Encoder:
@@ -128,7 +135,7 @@ class Encoder:
         self.shorter = {}
         for t, n in number.items():
             self.shorter[n] = next((number[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in number), None)
-        self.compatible = functools.lru_cache(maxsize=200_000)(self._compatible)
+        self.compatible = functools.lru_cache(maxsize=KEPT_PAIRS)(self._compatible)
         self.chunk = regex.compile(CHUNK)
         self.boundary = regex.compile(rf"(?<=.)(?= [^{SPACE}])", regex.S)
         self.odd_space = regex.compile(rf" (?:[{SPACE}]|\Z)")

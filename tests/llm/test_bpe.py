@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -42,6 +43,27 @@ def test_forgetting_changes_nothing(library, monkeypatch):
         assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize(("word", "ids"), [("w", 8), ("漢字かな交じり文書" * 6, 4 * 60)])
+def test_what_a_worker_keeps_is_bounded_on_any_words(word, ids):
+    store = bpe.Recent()
+    tracemalloc.start()
+    try:
+        for i in range(550_000):
+            store.put(f"{word}{i}", bytes(ids))
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert held < 50 << 20
+
+
+def test_bounds_in_bytes_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 2_000)
+    encoder = bpe.Encoder(bpe.load(PATH))
+    for text in random_texts(300):
+        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sum(len(s.new) + len(s.old) for s in (encoder.first, encoder.inner)) < 60
+
+
 def test_backtracking_alone_is_exact(library):
     encoder = bpe.Encoder(bpe.load(PATH))
     rng = random.Random(9)
