@@ -23,15 +23,17 @@ TIME_BUCKETS = 4096
 RUN_ROWS = 1_000_000
 
 
-def _with_live(pages, chains):
+def _with_live(pages, chains, look):
     """Add ``live``: whether a page counts, given ``scan_id``, ``last_page`` and ``top_page`` of the chains.
 
     Only scans with pages behind their last one need a look at it. A bitmap of those scans
-    clears all others, whose bodies stay where they are.
+    clears all others, whose bodies stay where they are. With ``look`` a job finds out first whether there are any.
     """
     if "live" in pages.columns:
         return pages
     cut = chains.where("top_page > last_page").select("scan_id", "last_page")
+    if look and cut.isEmpty():
+        return pages.withColumn("live", F.lit(True))
     doubtful = maybe_among(key_bitmap(cut, "scan_id"), "scan_id")
     clear = pages.where(~doubtful).withColumn("live", F.lit(True))
     joined = pages.where(doubtful).join(cut, "scan_id", "left").select(*pages.columns, "last_page")
@@ -48,7 +50,7 @@ def _live_only(marked, columns):
     return marked.where(F.coalesce("live", F.lit(True))).select(*columns)
 
 
-def with_cursor_chain(pages):
+def with_cursor_chain(pages, look=False):
     """Add ``live``: whether a cursor walk would fetch the page. Nothing is computed when the pages have it.
 
     The walk ends with the first page that has no next cursor, no events, or a
@@ -61,7 +63,7 @@ def with_cursor_chain(pages):
     sound = F.col("n_rows").isNotNull()
     ends = sound & (after.isNull() | (after == "") | (F.col("n_rows") == 0) | (after == cursor))
     heads = with_page_header(pages).select("scan_id", "page_no", "cursor", "after", "n_rows")
-    return _with_live(pages, _last_pages(heads, ends))
+    return _with_live(pages, _last_pages(heads, ends), look)
 
 
 def assemble_cursor_pages(pages):
@@ -86,7 +88,7 @@ def running_total(df, key, order, value):
     )
 
 
-def with_offset_chain(pages):
+def with_offset_chain(pages, look=False):
     """Add ``live``: whether an offset walk would fetch the alert page.
 
     It ends with an empty page, when the groups seen so far reach the page's
@@ -101,7 +103,7 @@ def with_offset_chain(pages):
         | (F.col("total_count").isNotNull() & (F.col("running_total") >= F.col("total_count")))
         | (F.col("total_count").isNull() & (F.col("n_rows") < ALERT_PAGE_SIZE))
     )
-    return _with_live(pages, _last_pages(seen, ends))
+    return _with_live(pages, _last_pages(seen, ends), look)
 
 
 def assemble_offset_pages(pages):

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from telemere.functions.time import event_time
 from telemere.operators.paging import with_cursor_chain, with_offset_chain
+from telemere.session import shared_dir
 from telemere.sources.alerts import with_alert_page_header
 from telemere.sources.pages import with_page_header, with_page_times
 
@@ -38,20 +39,32 @@ class Landing:
 def land_pages(pages, path, partition_by=()):
     """Write search pages with their paging header, whether they count, and their times; nothing passes the driver.
 
-    A call lands whole scans. Only bodies of scans that go on behind their last page are shuffled for it.
+    A call lands whole scans. Pages are worked out once: they are put down with their header, whether they count is
+    found from narrow columns, and only bodies of scans that go on behind their last page are shuffled for it.
     """
-    headed = with_cursor_chain(with_page_times(with_page_header(pages)))
-    if "dt" in partition_by and "dt" not in headed.columns:
-        headed = headed.withColumn("dt", F.to_date(event_time(F.col("last_nanos"))))
-    _append(headed, path, partition_by)
+    _land(with_page_times(with_page_header(pages)), with_cursor_chain, path, partition_by)
 
 
 def land_alert_pages(pages, path, partition_by=()):
     """Write alert pages with their paging header and whether they count; a call lands whole scans."""
-    _append(with_offset_chain(with_alert_page_header(pages)), path, partition_by)
+    _land(with_alert_page_header(pages), with_offset_chain, path, partition_by)
 
 
-def _append(rows, path, partition_by):
+def _land(headed, with_chain, path, partition_by):
+    if "dt" in partition_by and "dt" not in headed.columns:
+        headed = headed.withColumn("dt", F.to_date(event_time(F.col("last_nanos"))))
+    if "live" in headed.columns:
+        _append(headed, path, partition_by)
+        return
+    spark = headed.sparkSession
+    held = shared_dir(spark, "headed")
+    _append(headed, held)
+    _append(with_chain(spark.read.schema(headed.schema).parquet(held), look=True), path, partition_by)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(held)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _append(rows, path, partition_by=()):
     writer = rows.write.mode("append")
     return (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 

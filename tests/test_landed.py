@@ -149,3 +149,21 @@ def test_sums_through_the_reader_sort_nothing(spark, tmp_path):
     )
     plan = executed(found)
     assert "rangepartitioning" not in plan and "Sort [time_unix_nano" not in plan
+
+
+def test_pages_are_worked_out_once_when_they_land(spark, tmp_path):
+    """They were rendered again for each look at their chain, which a landing of many pages spent its time on."""
+    made = spark.sparkContext.accumulator(0)
+    rows = [("a", i, str(i) if i else "", page(["2024-01-01T00:00:00Z"], str(i + 1) if i != 5 else None)) for i in range(8)]
+    rows += [("b", i, str(i) if i else "", page(["2024-01-01T00:00:00Z"], str(i + 1))) for i in range(4)]
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    for name, kept, live in (("cut", rows, 10), ("whole", rows[8:], 4)):
+        made.value = 0
+        land_pages(spark.createDataFrame(kept, PAGES).mapInArrow(counted, PAGES), f"{tmp_path}/{name}")
+        landed = spark.read.parquet(f"{tmp_path}/{name}")
+        assert (landed.count(), landed.where("live").count(), made.value) == (len(kept), live, len(kept))

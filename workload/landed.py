@@ -1,5 +1,6 @@
 """Registered queries over landing folders: chains cut at landing, overlapping reads, current alerts."""
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from telemere.operators import paging
@@ -46,11 +47,16 @@ def _(spark, sf):
     return readers.read_logs(spark, Landing(path), from_="2024-01-11T00:00:00Z", to="2024-01-12T00:00:00Z")
 
 
-def overlapping_scans(events):
-    """Three pulls of timed events whose windows overlap, as pages of an hour each.
+# Most events of a page, as the search API has it.
+PAGE_ROWS = 1000
 
-    The oldest pull takes two days at a time and has not yet seen every other event; the next one
-    takes a day; the newest takes the second half of even days.
+
+def overlapping_scans(rows, event):
+    """Three pulls of timed events whose windows overlap, as pages of at most ``PAGE_ROWS`` events of an hour.
+
+    ``rows`` have ``event_id``, ``ms`` and what the expression ``event`` renders an event from, which is done only once
+    rows have been dealt out by their hour. The oldest pull takes two days at a time and has not yet seen every other
+    event; the next one takes a day; the newest takes the second half of even days.
     """
     number, hour = "ms div 86400000", "ms div 3600000"
     pulls = [
@@ -60,9 +66,8 @@ def overlapping_scans(events):
     ]
     taken = None
     for name, received, chosen, start, offset, end in pulls:
-        part = events.where(chosen).selectExpr(
-            "event_id",
-            "event",
+        part = rows.where(chosen).selectExpr(
+            "*",
             f"{hour} as hour_no",
             f"concat('{name}-', {start}) as scan_id",
             f"{start} * {DAY_MS} + {offset} as from_ms",
@@ -70,30 +75,32 @@ def overlapping_scans(events):
             f"{received}L as received_unix_nano",
         )
         taken = part if taken is None else taken.unionByName(part)
-    pages = fx._bodies(taken, "scan_id", "from_ms", "to_ms", "received_unix_nano", "hour_no")
-    page = "(hour_no - from_ms div 3600000)"
+    nth = F.row_number().over(W.partitionBy("scan_id", "hour_no").orderBy("event_id"))
+    numbered = taken.withColumn("part", F.call_function("div", nth - 1, F.lit(PAGE_ROWS)))
+    keys = ["scan_id", "from_ms", "to_ms", "received_unix_nano", "hour_no", "part"]
+    pages = fx._bodies(numbered.selectExpr(*keys, "event_id", f"{event} as event"), *keys)
+    # A page without events would end its scan.
+    pages = pages.where("items <> ''").withColumn("page_no", F.expr("(hour_no - from_ms div 3600000) * 1000000 + part"))
     return pages.selectExpr(
-        "scan_id", "from_ms", "to_ms", "received_unix_nano",
-        f"{page} as page_no",
-        f"if({page} = 0, '', cast({page} as string)) as cursor",
-        f"""concat('{{"data":[', items, '],"meta":{{"page":{{"after":"', {page} + 1, '"}}}}}}') as body""",
+        "scan_id", "from_ms", "to_ms", "received_unix_nano", "page_no",
+        "if(page_no = 0, '', cast(page_no as string)) as cursor",
+        """concat('{"data":[', items, '],"meta":{"page":{"after":"', page_no + 1, '"}}}') as body""",
     )
 
 
 @query("overlapping_log_scans", with_logs(f"SELECT {R.LOG_COLUMNS} FROM logs"))
 def _(spark, sf):
-    times = fx.table(spark, sf, "events").selectExpr("event_id", "unix_millis(cast(ts as timestamp)) as ms")
+    events = fx.table(spark, sf, "events")
+    times = events.selectExpr("event_id", "unix_millis(cast(ts as timestamp)) as ms")
     path = shared_dir(spark, "landing")
-    land_pages(overlapping_scans(fx.log_events(spark, sf).select("event_id", "event").join(times, "event_id")), f"{path}/logs")
+    land_pages(overlapping_scans(events.join(times, "event_id"), fx.LOG_EVENT), f"{path}/logs")
     return readers.read_logs(spark, Landing(path), from_="2000-01-01T00:00:00Z", to="2040-01-01T00:00:00Z")
 
 
 @query("overlapping_span_scans", with_spans(f"SELECT {R.SPAN_COLUMNS} FROM spans"))
 def _(spark, sf):
-    start = F.to_timestamp(F.get_json_object("event", "$.attributes.start_timestamp"))
-    events = fx.span_events(spark, sf).withColumn("ms", F.unix_millis(start)).drop("order_key")
     path = shared_dir(spark, "landing")
-    land_pages(overlapping_scans(events), f"{path}/spans")
+    land_pages(overlapping_scans(fx.span_rows(spark, sf), fx.SPAN), f"{path}/spans")
     return readers.read_spans(spark, Landing(path), from_="1980-01-01T00:00:00Z", to="2040-01-01T00:00:00Z")
 
 
