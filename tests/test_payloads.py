@@ -226,3 +226,11 @@ def test_filter_by_outcome_stays_above_the_ids(spark):
     df = spark.createDataFrame([("ab", "2", 5)], "trace_id string, span_id string, start long")
     plan = agent_spans(df).where("outcome = 'ok'")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter") < plan.index("Generate inline")
+
+
+def test_ids_are_worked_out_before_the_generator(spark):
+    """Inside it they would run expression by expression, the outcome's parts once more."""
+    df = spark.createDataFrame([("ab", "2", 5)], "trace_id string, span_id string, start long")
+    plan = agent_spans(df)._jdf.queryExecution().optimizedPlan().toString()
+    line = next(x for x in plan.splitlines() if "Generate inline" in x)
+    assert "conv(" not in line and "conv(" in plan

@@ -1,3 +1,4 @@
+import collections
 import json
 
 import pytest
@@ -248,3 +249,32 @@ def test_an_event_that_repeats_a_key_is_not_lost(spark):
     pages = spark.createDataFrame([("s", 0, "", body)], "scan_id string, page_no long, cursor string, body string")
     (row,) = normalise_logs(pages).collect()
     assert row.body == "m" and row.severity_text == "error"
+
+
+ODD_CUSTOM = (
+    "null", '"{\\"a\\":1}"', "[1]", "5", "{}", '{"span":"x","a":1}', '{"span":null}', '{"span":{"kind":"client"}}', '{"span":{"kind":3}}',
+    '{"span":{"kind":"client"},"span":{"kind":"server"}}', '{"type":null,"error":{"message":"m"}}', '{"duration":1.9}', '{"duration":"7"}',
+    '{"duration":12345678901234567890}', '{"error":{}}', '{"error":false,"operation_name":5}',
+)
+
+
+def test_fields_of_custom_are_the_same_by_both_ways(spark):
+    """One element that is no object has the page's elements parsed one by one; its fields are those of the quick way."""
+    event = '{{"attributes":{{"type":"t","resource_name":"r","custom":{}}}}}'
+    bodies = [(n, "{" + f'"data":[{event.format(c)}{more}]' + "}") for n, c in enumerate(ODD_CUSTOM) for more in ("", ",7")]
+    rows = normalise_spans(spark.createDataFrame(bodies, "n int, body string"), ("n",)).where("span_attributes is not null")
+    found = rows.select("n", "kind", "status_code", "duration_time_unix_nano", "name", "status_status_message", "span_attributes").collect()
+    counted = collections.Counter(found)
+    assert set(counted.values()) == {2} and len(counted) == len(ODD_CUSTOM)
+    by = {r.n: r for r in found}
+    assert (by[7].kind, by[8].kind, by[9].kind) == (3, None, 2)
+    assert by[10].span_attributes == '{"type":null,"error":{"message":"m"},"resource_name":"r"}'
+    assert (by[10].status_code, by[10].status_status_message, by[11].duration_time_unix_nano) == (2, "m", 1)
+
+
+def test_fields_that_are_often_missing_are_not_looked_up_in_a_variant(spark):
+    """A path that a VARIANT lacks costs more than all else that is done with a span."""
+    frame = spark.createDataFrame([('{"data":[]}',)], "body string")
+    plan = normalise_spans(frame).select("kind", "name", "span_attributes")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate explode")]
+    assert "$.span.kind" not in above and "$.operation_name" not in above and "$.retained_by" not in above
