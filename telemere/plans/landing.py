@@ -54,18 +54,27 @@ def _land(headed, with_chain, path, partition_by):
     if "dt" in partition_by and "dt" not in headed.columns:
         headed = headed.withColumn("dt", F.to_date(event_time(F.col("last_nanos"))))
     if "live" in headed.columns:
-        _append(headed, path, partition_by)
+        write_bodies(headed, path, partition_by)
         return
     spark = headed.sparkSession
     held = shared_dir(spark, "headed")
-    _append(headed, held)
-    _append(with_chain(spark.read.schema(headed.schema).parquet(held), look=True), path, partition_by)
+    write_bodies(headed, held)
+    write_bodies(with_chain(spark.read.schema(headed.schema).parquet(held), look=True), path, partition_by)
     folder = spark._jvm.org.apache.hadoop.fs.Path(held)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def _append(rows, path, partition_by=()):
-    writer = rows.write.mode("append")
+# Bodies are long and compress well: a reader takes up to a row group of them into memory at once, a writer a page.
+BODY_BLOCKS = {
+    "parquet.block.size": str(4 * 1024 * 1024),
+    "parquet.block.row.count.limit": "128",
+    "parquet.page.row.count.limit": "32",
+}
+
+
+def write_bodies(rows, path, partition_by=()):
+    """Append rows that hold whole bodies, in row groups that are small however well the bodies compress."""
+    writer = rows.write.mode("append").options(**BODY_BLOCKS)
     return (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from telemere.operators import coverage, lookups, paging
 from telemere.plans import readers
-from telemere.plans.landing import Landing, land_alert_pages, land_pages
+from telemere.plans.landing import Landing, land_alert_pages, land_pages, write_bodies
 
 PAGES = "scan_id string, page_no long, cursor string, body string"
 
@@ -167,3 +167,31 @@ def test_pages_are_worked_out_once_when_they_land(spark, tmp_path):
         land_pages(spark.createDataFrame(kept, PAGES).mapInArrow(counted, PAGES), f"{tmp_path}/{name}")
         landed = spark.read.parquet(f"{tmp_path}/{name}")
         assert (landed.count(), landed.where("live").count(), made.value) == (len(kept), live, len(kept))
+
+
+def test_bodies_lie_in_small_row_groups(spark, tmp_path):
+    """Bodies that compress well made row groups of gigabytes of text, which a reader takes into memory at once."""
+    import pyarrow.parquet as pq
+
+    body = F.concat(F.lit('{"data":[{"attributes":{"message":"'), F.repeat(F.lit("x"), 50_000), F.lit('"}}]}'))
+    rows = spark.range(0, 600, 1, 1).select(F.col("id").cast("string").alias("scan_id"), F.lit(0).cast("long").alias("page_no"), F.lit("").alias("cursor"), body.alias("body"))
+    land_pages(rows, f"{tmp_path}/logs")
+    write_bodies(rows.select("body"), f"{tmp_path}/requests")
+    for kind in ("logs", "requests"):
+        files = [pq.ParquetFile(f).metadata for f in (tmp_path / kind).glob("*.parquet")]
+        groups = [f.row_group(g) for f in files for g in range(f.num_row_groups)]
+        assert sum(g.num_rows for g in groups) == 600 and max(g.num_rows for g in groups) <= 128
+    assert spark.read.parquet(f"{tmp_path}/logs").where("live").count() == 600
+
+
+def test_an_hour_is_cut_into_pages_of_the_size_a_search_gives(spark):
+    """A page of all events of an hour grew with the table, and an aggregate held many of them at once."""
+    from workload.landed import overlapping_scans
+
+    rows = spark.range(2500).select(F.col("id").alias("event_id"), F.lit(86_400_000 * 3 + 13 * 3_600_000).cast("long").alias("ms"))
+    event = """concat('{"id":', event_id, '}')"""
+    pages = overlapping_scans(rows, event).collect()
+    sizes = {(r.scan_id, r.page_no): len(json.loads(r.body)["data"]) for r in pages}
+    assert len(sizes) == len(pages) == 5 and max(sizes.values()) == 1000
+    assert sum(n for (scan, _), n in sizes.items() if scan == "day-3") == 2500
+    assert sum(n for (scan, _), n in sizes.items() if scan == "old-2") == 1250

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from telemere.operators import paging, search, stats
 from telemere.plans import readers
 from telemere.plans.catalog import attach
-from telemere.plans.landing import Landing, land_pages, materialise
+from telemere.plans.landing import Landing, land_pages, materialise, write_bodies
 from telemere.plans.options import Provider
 from telemere.session import shared_dir
 from telemere.sinks.logs import intake_fields, intake_json, log_batches
@@ -182,7 +182,7 @@ def _(spark, sf):
 
 def _run_intake(spark, requests, **options):
     root = shared_dir(spark, "intake")
-    requests.write.parquet(f"{root}/requests")
+    write_bodies(requests, f"{root}/requests")
     settings = stream.IntakeOptions(
         source=f"{root}/requests",
         table=f"{root}/table",
